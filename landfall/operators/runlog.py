@@ -167,6 +167,20 @@ def schema_rows(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFra
     )
 
 
+def observed_schema(records: DataFrame, table: str, record: str = "record") -> DataFrame:
+    """The same, as records themselves show it: every field and type that occurs in
+    a column of JSON objects (VARIANT), null values telling nothing."""
+    fields = records.select(
+        F.explode(F.expr(f"map_entries(CAST({record} AS map<string, variant>))")).alias("_field")
+    )
+    seen = fields.select(
+        F.lit(table).alias("table_name"),
+        F.col("_field.key").alias("column_name"),
+        F.schema_of_variant("_field.value").alias("data_type"),
+    )
+    return seen.filter(F.col("data_type") != "VOID").distinct()
+
+
 def schema_changes(current: DataFrame, previous: DataFrame) -> DataFrame:
     """Columns that are new, or have a new type, since the previous schema."""
     return current.join(previous, ["table_name", "column_name", "data_type"], "left_anti")

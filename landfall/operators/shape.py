@@ -161,7 +161,7 @@ def _promoted(
 ) -> dict[str, Column]:
     columns = {}
     for path, target in promote.items():
-        value, kind = dig(schema, path)
+        value, kind = dig(schema, path, typed=target in timestamp_targets)
         if target in timestamp_targets:
             value = parse_timestamp(value, kind)
         elif is_nested(kind):
