@@ -194,9 +194,9 @@ WITH bare AS (
            '<[^>]*>', '', 'gs') AS text
   FROM pages)
 SELECT page_id,
-       replace(replace(replace(replace(replace(replace(replace(replace(
+       regexp_replace(replace(replace(replace(replace(replace(replace(replace(
          text, '&copy;', '©'), '&middot;', '·'), '&nbsp;', chr(160)), '&quot;', '"'),
-         '&#x27;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS text
+         '&#x27;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g') AS text
 FROM bare
 """)
 def strip_html_query(spark, sf_dir):

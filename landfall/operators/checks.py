@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 from typing import Any
 
@@ -19,7 +19,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from landfall.functions.text import truncate_observed
-from landfall.operators.incremental import typed_bound
+from landfall.operators.incremental import bound_text
 from landfall.operators.shape import DELETED
 
 # What a verdict row calls its check.
@@ -166,16 +166,27 @@ def evaluate(
 ) -> DataFrame:
     """One verdict row per check, as one lazy DataFrame over all tables.
 
-    A check that cannot be planned (a missing column, say) becomes a failed row
-    carrying its error; the others are unaffected.
+    The passes yield one number per check; names and sentences, one row per
+    declared check, are joined on at the end. A check that cannot be planned
+    (a missing column, say) becomes a failed row carrying its error; the others
+    are unaffected.
     """
-    parts: list[DataFrame] = []
+    numbered = list(enumerate(checks))
+    passes: list[DataFrame] = []
+    errors: dict[int, str] = {}
     for table in dict.fromkeys(check.table for check in checks):
-        own = [check for check in checks if check.table == table]
-        parts += _table_verdicts(spark, tables, own, checkpoint, as_of)
-    if not parts:
-        return spark.createDataFrame([], RESULT_SCHEMA)
-    return reduce(DataFrame.union, parts)
+        own = [(number, check) for number, check in numbered if check.table == table]
+        for measure, grouped in _passes(tables, own, as_of):
+            passes += _planned(measure, grouped, errors)
+    labels = spark.createDataFrame(
+        [(number, *_labels(check, checkpoint), errors.get(number)) for number, check in numbered],
+        _LABEL_SCHEMA,
+    )
+    measured = reduce(DataFrame.union, passes) if passes else spark.createDataFrame(
+        [], "check_no int, observed bigint"
+    )
+    # One row per declared check on either side.
+    return labels.join(F.broadcast(measured), "check_no", "left").select(*_verdict_columns())
 
 
 def evaluate_each(
@@ -193,161 +204,141 @@ def evaluate_each(
         try:
             rows += evaluate(spark, tables, [check], checkpoint, as_of).collect()
         except PySparkException as error:
-            rows += _raised(spark, check, checkpoint, error).collect()
+            failed = (0, *_labels(check, checkpoint), error_text(error), None)
+            schema = f"{_LABEL_SCHEMA}, observed bigint"
+            rows += spark.createDataFrame([failed], schema).select(*_verdict_columns()).collect()
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
-def _table_verdicts(spark, tables, checks, checkpoint, as_of) -> list[DataFrame]:
-    rows = tables[checks[0].table]
-    groups: list[tuple[Callable[..., DataFrame], list[Check]]] = []
-    keyed = next((check for check in checks if check.kind == "unique"), None)
+# A pass measures several checks in one reading: a single row with the number of
+# unexpected rows (or of rows) of check ``i`` in column ``c<i>``.
+Numbered = tuple[int, Check]
+Pass = Callable[[list[Numbered]], DataFrame]
+
+
+def _passes(
+    tables: Mapping[str, DataFrame], own: list[Numbered], as_of: datetime
+) -> list[tuple[Pass, list[Numbered]]]:
+    rows = tables[own[0][1].table]
+    keys = next((check.columns for _, check in own if check.kind == "unique"), ())
     by_key = [
-        check for check in checks
-        if keyed is not None and (
-            check.kind in ("unique", "row_count")
-            or (check.kind == "not_null" and check.columns[0] in keyed.columns)
-        ) and (check.kind != "unique" or check == keyed)
+        (number, check) for number, check in own
+        if (check.kind == "unique" and check.columns == keys)
+        or (keys and check.kind == "row_count")
+        or (check.kind == "not_null" and check.columns[0] in keys)
     ]
-    if by_key:
-        groups.append((lambda own: _by_key(rows, keyed.columns, own), by_key))
-    rest = [check for check in checks if check not in by_key]
-    single = [check for check in rest if check.kind not in ("orphans", "unique")]
-    if single:
-        groups.append((lambda own: _single_pass(rows, own, as_of), single))
-    for check in rest:
-        if check.kind == "unique":
-            groups.append((lambda own: _by_key(rows, own[0].columns, own), [check]))
-        elif check.kind == "orphans":
-            groups.append((lambda own: _orphan_count(tables, own[0]), [check]))
-    parts = []
-    for measure, own in groups:
-        parts += _planned(spark, measure, own, checkpoint)
-    return parts
+    rest = [entry for entry in own if entry not in by_key]
+    single = [entry for entry in rest if entry[1].kind not in ("orphans", "unique")]
+    passes: list[tuple[Pass, list[Numbered]]] = [
+        (lambda group: _by_key(rows, keys, group), by_key),
+        (lambda group: _single_pass(rows, group, as_of), single),
+    ]
+    for entry in rest:
+        if entry[1].kind == "unique":
+            passes.append((lambda group: _by_key(rows, group[0][1].columns, group), [entry]))
+        elif entry[1].kind == "orphans":
+            passes.append((lambda group: _orphan_count(tables, group[0]), [entry]))
+    return [(measure, group) for measure, group in passes if group]
 
 
-def _planned(spark, measure, checks, checkpoint) -> list[DataFrame]:
-    """Verdicts of one pass; if it cannot be planned, of each check on its own."""
+def _planned(measure: Pass, group: list[Numbered], errors: dict[int, str]) -> list[DataFrame]:
+    """One pass as rows of (check_no, observed); if it cannot be planned, each of
+    its checks on its own, noting the error of those that cannot."""
     try:
-        return [_verdicts(measure(checks), checks, checkpoint)]
+        entries = ", ".join(f"{number}, c{number}" for number, _ in group)
+        return [measure(group).selectExpr(
+            f"stack({len(group)}, {entries}) AS (check_no, observed)"
+        )]
     except PySparkException as error:
-        if len(checks) == 1:
-            return [_raised(spark, checks[0], checkpoint, error)]
-    return [part for check in checks for part in _planned(spark, measure, [check], checkpoint)]
+        if len(group) == 1:
+            errors[group[0][0]] = error_text(error)
+            return []
+    return [part for entry in group for part in _planned(measure, [entry], errors)]
+
 
+def _measured(rows: DataFrame, counts: Mapping[int, str]) -> DataFrame:
+    return rows.agg(*[
+        F.expr(f"CAST({count} AS BIGINT) AS c{number}") for number, count in counts.items()
+    ])
 
-def _by_key(rows: DataFrame, keys: Sequence[str], checks: Sequence[Check]) -> DataFrame:
-    """A column ``c<i>`` of struct(observed, success) per check, from one grouping."""
+
+def _by_key(rows: DataFrame, keys: Sequence[str], group: list[Numbered]) -> DataFrame:
+    """From one grouping: how often each key occurs tells duplicates, null keys and
+    the number of rows."""
     seen = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_seen"))
-    measures = []
-    for i, check in enumerate(checks):
+    counts = {}
+    for number, check in group:
         if check.kind == "unique":
-            count = F.count_if(F.col("_seen") > 1)
-        elif check.kind == "row_count":
-            count = F.coalesce(F.sum("_seen"), F.lit(0))
-        else:
-            null_key = F.when(F.col(check.columns[0]).isNull(), F.col("_seen"))
-            count = F.coalesce(F.sum(null_key), F.lit(0))
-        measures.append(_measure(i, check, count))
-    return seen.agg(*measures)
-
-
-def _single_pass(rows: DataFrame, checks: Sequence[Check], as_of: datetime) -> DataFrame:
-    """The same, for every check that needs no grouping: one aggregate, no shuffle
-    of rows."""
-    measures = []
-    for i, check in enumerate(checks):
-        if check.kind == "not_null":
-            count = F.count_if(F.col(check.columns[0]).isNull())
+            counts[number] = "count_if(_seen > 1)"
         elif check.kind == "row_count":
-            count = F.count(F.lit(1))
-        elif check.kind == "freshness":
-            column = check.columns[0]
-            bound = typed_bound(rows, column, as_of) - F.make_dt_interval(
-                hours=F.lit(check.settings["hours"])
-            )
-            count = _as_count(F.max(column) < bound)
-        elif check.kind == "deleted_fraction":
-            share = F.avg(F.when(F.col(DELETED), F.lit(1.0)).otherwise(F.lit(0.0)))
-            count = _as_count(share > check.settings["fraction"])
+            counts[number] = "coalesce(sum(_seen), 0)"
         else:
-            raise ValueError(f"unknown check kind {check.kind!r}")
-        measures.append(_measure(i, check, count))
-    return rows.agg(*measures)
-
-
-def _orphan_count(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
+            null = f"`{check.columns[0]}` IS NULL"
+            counts[number] = f"coalesce(sum(CASE WHEN {null} THEN _seen END), 0)"
+    return _measured(seen, counts)
+
+
+def _single_pass(rows: DataFrame, group: list[Numbered], as_of: datetime) -> DataFrame:
+    """Every check that needs no grouping: one aggregate, no shuffle of rows."""
+    return _measured(rows, {number: _count_of(rows, check, as_of) for number, check in group})
+
+
+def _count_of(rows: DataFrame, check: Check, as_of: datetime) -> str:
+    """A whole-table condition counts as one unexpected row, or none. An empty
+    table meets it."""
+    if check.kind == "row_count":
+        return "count(1)"
+    column = check.columns[0]
+    if check.kind == "not_null":
+        return f"count_if(`{column}` IS NULL)"
+    if check.kind == "freshness":
+        bound = as_of - timedelta(hours=check.settings["hours"])
+        typed = bound_text(rows, column, bound)
+        return f"CASE WHEN max(`{column}`) < {typed} THEN 1 ELSE 0 END"
+    if check.kind == "deleted_fraction":
+        share = f"avg(CASE WHEN `{column}` THEN 1.0D ELSE 0.0D END)"
+        return f"CASE WHEN {share} > {check.settings['fraction']}D THEN 1 ELSE 0 END"
+    raise ValueError(f"unknown check kind {check.kind!r}")
+
+
+def _orphan_count(tables: Mapping[str, DataFrame], entry: Numbered) -> DataFrame:
+    number, check = entry
     parent_table, parent_column = check.settings["parent"].split(".", 1)
     keys = orphan_keys(
         tables[check.table], check.columns[0], tables[parent_table], parent_column
     )
-    return keys.agg(_measure(0, check, F.coalesce(F.sum("orphans"), F.lit(0))))
+    return _measured(keys, {number: "coalesce(sum(orphans), 0)"})
 
 
-def _as_count(failed: Column) -> Column:
-    """A whole-table condition as its number of unexpected rows: one or none. An
-    empty table meets it."""
-    return F.when(failed, F.lit(1)).otherwise(F.lit(0))
+_LABEL_SCHEMA = (
+    "check_no int, checkpoint string, suite string, asset string, expectation string, "
+    "column_name string, severity string, description string, settings string, error string"
+)
 
 
-def _measure(i: int, check: Check, count: Column) -> Column:
-    success = count >= 1 if check.kind == "row_count" else count == 0
-    return F.struct(
-        count.cast("bigint").alias("observed"), success.alias("success")
-    ).alias(f"c{i}")
+def _labels(check: Check, checkpoint: str) -> tuple[str | None, ...]:
+    asset = f"{checkpoint}.{check.table}"
+    settings = json.dumps({"kind": check.kind, "columns": list(check.columns), **check.settings})
+    return (checkpoint, asset, asset, check.expectation, check.column_name, check.severity,
+            check.description, settings)
 
 
-def _verdicts(measured: DataFrame, checks: Sequence[Check], checkpoint: str) -> DataFrame:
-    entries = [
-        F.struct(
-            *[value.alias(name) for name, value in _labels(check, checkpoint).items()],
-            F.col(f"c{i}.observed").alias("observed"),
-            F.col(f"c{i}.success").alias("success"),
-        )
-        for i, check in enumerate(checks)
-    ]
+def _verdict_columns() -> list[Column]:
+    """The log's columns. A check that raised shows its error as what it observed."""
+    error = truncate_observed(F.col("error"))
     observed = F.col("observed").cast("string")
     values = {
-        "observed_value": observed,
+        "success": F.expr(
+            "CASE WHEN error IS NOT NULL THEN false "
+            f"WHEN expectation = '{ROW_COUNT}' THEN observed >= 1 ELSE observed = 0 END"
+        ),
+        "observed_value": F.coalesce(observed, error),
         "details": F.to_json(
-            F.struct(F.col("settings"), observed.alias("observed"),
-                     F.lit(None).cast("string").alias("exception")),
+            F.struct("settings", observed.alias("observed"), error.alias("exception")),
             {"ignoreNullFields": "false"},
         ),
     }
-    return measured.select(F.inline(F.array(*entries))).select(
-        *[values.get(name, F.col(name)).alias(name) for name in RESULT_SCHEMA.names]
-    )
-
-
-def _labels(check: Check, checkpoint: str) -> dict[str, Column]:
-    asset = f"{checkpoint}.{check.table}"
-    texts = {
-        "checkpoint": checkpoint,
-        "suite": asset,
-        "asset": asset,
-        "expectation": check.expectation,
-        "column_name": check.column_name,
-        "severity": check.severity,
-        "description": check.description,
-        "settings": json.dumps({"kind": check.kind, "columns": list(check.columns),
-                                **check.settings}),
-    }
-    return {name: F.lit(text).cast("string") for name, text in texts.items()}
-
-
-def _raised(spark: SparkSession, check: Check, checkpoint: str, error: Exception) -> DataFrame:
-    message = F.lit(error_text(error))
-    values = {
-        **_labels(check, checkpoint),
-        "success": F.lit(False),
-        "observed_value": truncate_observed(message),
-    }
-    values["details"] = F.to_json(
-        F.struct(values["settings"].alias("settings"), F.lit(None).cast("string").alias("observed"),
-                 truncate_observed(message).alias("exception")),
-        {"ignoreNullFields": "false"},
-    )
-    return spark.range(1).select(*[values[name].alias(name) for name in RESULT_SCHEMA.names])
+    return [values.get(name, F.col(name)).alias(name) for name in RESULT_SCHEMA.names]
 
 
 def error_text(error: Exception) -> str:

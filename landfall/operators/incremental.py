@@ -19,12 +19,16 @@ CURSOR_MISSING_POLICIES = ("include", "exclude", "raise")
 _EPOCH = datetime(1970, 1, 1)
 
 
-def typed_bound(df: DataFrame, column: str, moment: datetime) -> Column:
-    """``moment`` as a literal of the column's type; naive moments are UTC."""
+def bound_text(df: DataFrame, column: str, moment: datetime) -> str:
+    """``moment`` as a SQL literal of the column's type; naive moments are UTC."""
     if moment.tzinfo is not None:
         moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
-    text = moment.isoformat(sep=" ")
-    return F.lit(text).cast("timestamp_ntz").cast(df.schema[column].dataType)
+    kind = df.schema[column].dataType.simpleString()
+    return f"CAST(TIMESTAMP_NTZ'{moment.isoformat(sep=' ')}' AS {kind})"
+
+
+def typed_bound(df: DataFrame, column: str, moment: datetime) -> Column:
+    return F.expr(bound_text(df, column, moment))
 
 
 def effective_cursor(
