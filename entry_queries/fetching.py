@@ -8,6 +8,7 @@ from entry_queries.inputs import landed_customers, table
 from entry_queries.registry import query
 from landfall.functions.timestamps import format_cursor
 from landfall.operators import incremental as I
+from landfall.operators.joins import splittable
 from landfall.operators.merge import merge_upsert
 from landfall.operators.tombstone import absent_keys, mark_deleted, mark_deleted_counts
 
@@ -215,7 +216,8 @@ def recover_pending_query(spark, sf_dir):
         loads.select("table_name", "load_id").distinct(),
         committed.select("table_name", "load_id").distinct(),
     )
-    replayed = loads.join(pending, ["table_name", "load_id"], "left_semi")
+    key = ["table_name", "load_id"]
+    replayed = loads.join(splittable(pending, key), key, "left_semi")
     table_rows = merge_upsert(
         committed.withColumn("via", F.lit("landed")),
         replayed.withColumn("via", F.lit("recovered")),

@@ -3,6 +3,7 @@ Arrow-batched pandas UDF over the standard library's parser."""
 
 from __future__ import annotations
 
+import re
 from html import unescape
 from html.entities import html5
 from html.parser import HTMLParser
@@ -21,6 +22,8 @@ VOID_ELEMENTS = frozenset((
 ))
 BLANK = " \n\t\f\r"
 
+_OPEN_REFERENCE = re.compile(r"&#?[0-9A-Za-z]*$")
+
 
 class _TextNodes(HTMLParser):
     """Collects text nodes, tracking which elements are open around them."""
@@ -84,6 +87,9 @@ def html_text(html: str | None) -> str | None:
         return None
     parser = _TextNodes()
     parser.feed(html)
+    if _OPEN_REFERENCE.search(html):
+        # The parser would drop the ampersand of a reference cut off by the end.
+        parser.feed("<!---->")
     parser.close()
     parser.end_node()
     return "".join(parser.text)

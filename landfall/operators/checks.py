@@ -15,6 +15,7 @@ from datetime import datetime, timedelta
 from functools import reduce
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -55,6 +56,10 @@ RESULT_SCHEMA = T.StructType([
 ])
 
 
+# What a query that cannot be planned, and a job that fails, raise.
+SPARK_ERRORS = (PySparkException, Py4JJavaError)
+
+
 # ── Checks as relations: the unexpected rows themselves ──────────────────────
 
 
@@ -89,7 +94,7 @@ def orphan_keys(
     )
     known = parents.filter(F.col(parent_column).isNotNull()).select(
         F.col(parent_column).alias(child_column)
-    )
+    ).distinct()
     return used.join(known, child_column, "left_anti")
 
 
@@ -203,7 +208,7 @@ def evaluate_each(
     for check in checks:
         try:
             rows += evaluate(spark, tables, [check], checkpoint, as_of).collect()
-        except PySparkException as error:
+        except SPARK_ERRORS as error:
             failed = (0, *_labels(check, checkpoint), error_text(error), None)
             schema = f"{_LABEL_SCHEMA}, observed bigint"
             rows += spark.createDataFrame([failed], schema).select(*_verdict_columns()).collect()
@@ -342,8 +347,14 @@ def _verdict_columns() -> list[Column]:
 
 
 def error_text(error: Exception) -> str:
-    """The first line that says anything."""
-    lines = [line.strip() for line in str(error).splitlines() if line.strip()]
+    """The first line of what went wrong: of the deepest cause, if a job failed."""
+    text = str(error)
+    if isinstance(error, Py4JJavaError):
+        cause = error.java_exception
+        while cause is not None:
+            text = cause.getMessage() or text
+            cause = cause.getCause()
+    lines = [line.strip() for line in text.splitlines() if line.strip()]
     return lines[0] if lines else "the check raised without a message"
 
 

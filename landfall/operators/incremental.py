@@ -10,6 +10,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from landfall.operators.joins import splittable
 from landfall.operators.merge import merge_upsert
 from landfall.operators.shape import inject_parent
 
@@ -142,10 +143,10 @@ def parent_watermark(
 ) -> DataFrame:
     """Every child of every listed parent, with the parent's id and changed-at.
 
-    The worklist is unique on its key, so a child appears once; a parent with
-    very many children is split by adaptive skew handling on the child side.
+    The worklist is unique on its key, so a child appears once; a parent that has
+    a large share of all children is split over tasks.
     """
-    listed = worklist.select(
+    listed = splittable(worklist, [parent_key]).select(
         F.col(parent_key).alias("_listed_id"), F.col(changed_at).alias("_listed_at")
     )
     met = children.join(listed, F.col(foreign_key) == F.col("_listed_id"), "inner")

@@ -1,4 +1,4 @@
-"""Joins on keys that may be null."""
+"""Joins on keys that may be null, and joins whose large side may be skewed."""
 
 from __future__ import annotations
 
@@ -8,6 +8,17 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 
+def splittable(small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Let a hot key of the other side be split.
+
+    A side that was just grouped by the join key would be joined where it lies,
+    and adaptive execution only splits between plain shuffles. One more shuffle of
+    this, the smaller, side makes both plain. It is not paid where the side turns
+    out small enough to broadcast.
+    """
+    return small.repartition(F.hash(*keys))
+
+
 def join_null_safe(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 ) -> DataFrame:

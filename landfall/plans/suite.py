@@ -6,7 +6,6 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from landfall.contract import Contract
@@ -116,13 +115,13 @@ def run_suite(
     arguments = (spark, tables, plan.checks, contract.dataset, as_of)
     try:
         rows = C.evaluate(*arguments).collect()
-    except PySparkException:
+    except C.SPARK_ERRORS:
         rows = C.evaluate_each(*arguments).collect()
     results = spark.createDataFrame(rows, C.RESULT_SCHEMA)
     if log_path is not None:
         try:
             write_append(log_rows(results, as_of, context), log_path, "validated_at")
-        except PySparkException as error:
+        except C.SPARK_ERRORS as error:
             print(f"the verdicts could not be logged: {C.error_text(error)}")
     return results, C.suite_verdict(results).first()
 

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from landfall.operators.joins import join_null_safe
+from landfall.operators.joins import join_null_safe, splittable
 
 _STRICT = {"mode": "FAILFAST"}
 
@@ -134,7 +134,7 @@ def chain_ends(
 def up_to_end(
     pages: DataFrame, chain: Sequence[str], ends: DataFrame, page: str = "page"
 ) -> DataFrame:
-    return join_null_safe(pages, ends, chain, "left").filter(
+    return join_null_safe(pages, splittable(ends, chain), chain, "left").filter(
         F.col("last_page").isNull() | (F.col(page) <= F.col("last_page"))
     )
 
@@ -151,7 +151,7 @@ def scan_pages_numbered(
     """Records of every page up to its chain's end; later pages are not read.
 
     The end is an aggregate per chain, joined back, so bodies never shuffle while
-    that aggregate is small and a chain of very many pages is never one task.
+    that aggregate is small, and a chain of very many pages is split over tasks.
     """
     ends = chain_ends(pages, chain, selector, total_path, page, body)
     read = up_to_end(pages, chain, ends, page)
