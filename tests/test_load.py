@@ -1,0 +1,169 @@
+"""Whole runs of a source, end to end on files."""
+
+from datetime import datetime, timedelta
+
+import pytest
+
+from landfall.contract import Contract, ContractError, run_window
+from landfall.plans.load import PARENT_CHANGED_AT, run_source
+from landfall.plans.suite import run_suite
+from landfall.plans.warehouse import Warehouse
+
+NOW = datetime(2024, 5, 1)
+
+DESK = Contract.from_dict({
+    "name": "desk",
+    "api": {"base_url": "https://desk.invalid", "auth": {"type": "bearer", "token_env": "T"}},
+    "orchestration": {"backfill_start": "2020-01-01"},
+    "resources": [
+        {"name": "notes", "primary_key": "id",
+         "incremental": {"strategy": "parent_watermark", "parent": "deals",
+                         "lookback_seconds": 60}},
+        {"name": "calls", "primary_key": "id",
+         "incremental": {"strategy": "parent_fanout", "parent": "deals",
+                         "cursor_field": "updatedAt", "lookback_seconds": 60},
+         "timestamp_columns": ["updatedAt"]},
+        {"name": "deals", "primary_key": "id",
+         "incremental": {"strategy": "search_window", "cursor_field": "updatedAt",
+                         "lookback_seconds": 60},
+         "timestamp_columns": ["updatedAt"], "promote": {"archived.reason": "archiveReason"}},
+        {"name": "tags", "primary_key": "text", "soft_delete": "always"},
+    ],
+    "quality": {
+        "references": [
+            {"child": "notes.deal_id", "parent": "deals.id"},
+            {"child": "calls.deal_id", "parent": "deals.id"},
+        ],
+    },
+})
+
+
+def ms(hours):
+    return int((datetime(2024, 1, 1) + timedelta(hours=hours) - datetime(1970, 1, 1))
+               .total_seconds() * 1000)
+
+
+def at(hours):
+    return datetime(2024, 1, 1) + timedelta(hours=hours)
+
+
+def source(spark, deals, notes, calls, tags):
+    return {
+        "deals": spark.createDataFrame(
+            [(i, t, (reason,)) for i, t, reason in deals],
+            "id string, updatedAt bigint, archived struct<reason: string>"),
+        "notes": spark.createDataFrame(notes, "id string, dealId string, text string"),
+        "calls": spark.createDataFrame(calls, "id string, dealId string, updatedAt bigint"),
+        "tags": spark.createDataFrame(tags, "text string, count int"),
+    }
+
+
+FIRST = dict(
+    deals=[("d1", ms(1), "won"), ("d2", ms(2), None), ("d3", None, None)],
+    notes=[("n1", "d1", "a"), ("n3", "d3", "c")],
+    calls=[("c1", "d1", ms(1)), ("c2", "dX", ms(1))],
+    tags=[("hot", 1), ("cold", 2)],
+)
+SECOND = dict(
+    deals=[("d1", ms(1), "edited too early to be seen"), ("d2", ms(9), "lost")],
+    notes=[("n1", "d1", "unseen"), ("n2", "d2", "b")],
+    calls=[("c1", "d1", ms(0)), ("c4", "d2", ms(8))],
+    tags=[("hot", 5)],
+)
+
+
+def run(spark, warehouse, records, run_id, **settings):
+    return run_source(spark, DESK, warehouse, source(spark, **records),
+                      settings.pop("window", run_window(NOW)), run_id, NOW, **settings)
+
+
+def rows(warehouse, spark, table, *columns):
+    return sorted(tuple(r) for r in warehouse.read(spark, table).select(*columns).collect())
+
+
+@pytest.fixture(scope="module")
+def desk(spark, tmp_path_factory):
+    """Two incremental runs; what each reported, and the warehouse they left."""
+    warehouse = Warehouse(str(tmp_path_factory.mktemp("desk")), "desk", buckets=4)
+    first = run(spark, warehouse, FIRST, "r1")
+    cursors = {name: warehouse.cursor(spark, name) for name in ("deals", "notes", "calls")}
+    second = run(spark, warehouse, SECOND, "r2", tombstone=True, context={"dag_id": "hourly"})
+    return warehouse, first, cursors, second
+
+
+def test_a_first_run_is_unbounded_and_sets_cursors(desk):
+    _, first, cursors, _ = desk
+    assert first["status"] == "succeeded"
+    assert first["rows_this_run"] == {"deals": 3, "notes": 2, "calls": 1, "tags": 2}
+    # The notes' watermark is how far the worklist reached, childless d2 included.
+    assert cursors == {"deals": at(2), "notes": at(2), "calls": at(1)}
+
+
+def test_parents_are_landed_before_their_worklists(desk):
+    names = desk[1]["resources"]
+    assert names.index("deals") < names.index("notes") and names[0] == "tags"
+
+
+def test_a_second_run_admits_only_what_changed(spark, desk):
+    warehouse, _, _, second = desk
+    assert rows(warehouse, spark, "deals", "id", "archive_reason") == [
+        ("d1", "won"), ("d2", "lost"), ("d3", None)]
+    assert rows(warehouse, spark, "notes", "id", "text") == [
+        ("n1", "a"), ("n2", "b"), ("n3", "c")]
+    assert rows(warehouse, spark, "calls", "id") == [("c1",), ("c4",)]
+    assert second["rows_this_run"] == {"deals": 1, "notes": 1, "calls": 1, "tags": 1}
+    assert warehouse.cursor(spark, "notes") == at(9)
+
+
+def test_children_carry_when_their_parent_changed(spark, desk):
+    landed = dict(rows(desk[0], spark, "notes", "id", PARENT_CHANGED_AT)[:2])
+    assert landed == {"n1": at(1), "n2": at(9)}
+
+
+def test_only_the_flagged_run_tombstones_what_is_gone(spark, desk):
+    warehouse, first, _, second = desk
+    assert first["marked_deleted"] == {} and second["marked_deleted"] == {"tags": 1}
+    assert rows(warehouse, spark, "tags", "text", "_deleted") == [("cold", True), ("hot", False)]
+
+
+def test_runs_are_logged(spark, desk):
+    log = spark.read.parquet(f"{desk[0].base}/_run_log").orderBy("load_ids").collect()
+    assert [r.status for r in log] == ["succeeded", "succeeded"]
+    assert [r.dag_id for r in log] == [None, "hourly"]
+    assert "r2-tags" in log[1].load_ids and log[0].elapsed_seconds > 0
+
+
+def test_what_landed_can_be_checked(spark, desk):
+    warehouse = desk[0]
+    tables = warehouse.read_all(spark, DESK.resource_names)
+    _, verdict = run_suite(spark, DESK, tables, NOW)
+    assert not verdict.failed and verdict.passed == verdict.total == 15
+
+
+def test_a_failed_run_is_logged_and_moves_no_cursor(spark, tmp_path):
+    warehouse = Warehouse(str(tmp_path), "desk", buckets=2)
+    records = {k: v for k, v in source(spark, **FIRST).items() if k != "notes"}
+    with pytest.raises(ContractError, match="nothing supplies notes"):
+        run_source(spark, DESK, warehouse, records, run_window(NOW), "r1", NOW,
+                   resources="deals,notes")
+    (entry,) = spark.read.parquet(f"{warehouse.base}/_run_log").collect()
+    assert entry.status == "failed" and warehouse.cursor(spark, "notes") is None
+
+
+def test_builders_supply_what_no_table_holds(spark, tmp_path):
+    warehouse = Warehouse(str(tmp_path), "desk", buckets=2)
+
+    def build_tags(spark, contract, resource, state):
+        assert (contract.name, resource.name, state) == ("desk", "tags", None)
+        return spark.createDataFrame([("built", 1)], "text string, count int")
+
+    summary = run_source(spark, DESK, warehouse, {}, run_window(NOW), "r1", NOW, "tags",
+                         builders={"build_tags": build_tags})
+    assert summary["warehouse_counts"] == {"tags": 1}
+
+
+def test_a_backfill_bounds_what_it_searches(spark, tmp_path):
+    warehouse = Warehouse(str(tmp_path), "desk", buckets=2)
+    window = run_window(NOW, start=at(2), end=at(3))
+    run(spark, warehouse, FIRST, "b1", resources="deals", window=window)
+    assert rows(warehouse, spark, "deals", "id") == [("d2",)]
