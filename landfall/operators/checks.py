@@ -186,7 +186,7 @@ def evaluate(
     labels = spark.createDataFrame(
         [(number, *_labels(check, checkpoint), errors.get(number)) for number, check in numbered],
         _LABEL_SCHEMA,
-    )
+    ).coalesce(1)
     measured = reduce(DataFrame.union, passes) if passes else spark.createDataFrame(
         [], "check_no int, observed bigint"
     )
@@ -212,7 +212,7 @@ def evaluate_each(
             failed = (0, *_labels(check, checkpoint), error_text(error), None)
             schema = f"{_LABEL_SCHEMA}, observed bigint"
             rows += spark.createDataFrame([failed], schema).select(*_verdict_columns()).collect()
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
+    return spark.createDataFrame(rows, RESULT_SCHEMA).coalesce(1)
 
 
 # A pass measures several checks in one reading: a single row with the number of

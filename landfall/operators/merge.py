@@ -7,7 +7,6 @@ result. ``landfall.plans.warehouse`` stages and switches it.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
@@ -86,12 +85,18 @@ def supports_merge_into(spark: SparkSession, table: str) -> bool:
     return bool(provider) and provider[0].lower() in ROW_LEVEL_PROVIDERS
 
 
-def merge_into(delta: DataFrame, table: str, keys: Sequence[str], view: str) -> None:
-    """The same upsert for a catalog that applies it itself."""
-    delta.createOrReplaceTempView(view)
-    on = reduce(lambda text, key: f"{text} AND t.`{key}` = s.`{key}`", keys[1:],
-                f"t.`{keys[0]}` = s.`{keys[0]}`")
-    delta.sparkSession.sql(
-        f"MERGE INTO {table} t USING {view} s ON {on} "
+def merge_into(
+    delta: DataFrame, table: str, keys: Sequence[str], cursor: str | None = None
+) -> None:
+    """The same upsert for a catalog that applies it row by row."""
+    view = "_landfall_delta"
+    dedup_latest(delta, keys, cursor).createOrReplaceTempView(view)
+    delta.sparkSession.sql(merge_statement(table, view, keys))
+
+
+def merge_statement(table: str, view: str, keys: Sequence[str]) -> str:
+    matched = " AND ".join(f"t.`{key}` = s.`{key}`" for key in keys)
+    return (
+        f"MERGE WITH SCHEMA EVOLUTION INTO {table} t USING {view} s ON {matched} "
         "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
     )

@@ -164,7 +164,7 @@ def schema_rows(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFra
             for field in rows.schema.fields
         ],
         "table_name string, column_name string, data_type string",
-    )
+    ).coalesce(1)
 
 
 def observed_schema(records: DataFrame, table: str, record: str = "record") -> DataFrame:

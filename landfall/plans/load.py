@@ -208,7 +208,7 @@ def _log(run: Run, summary: Mapping[str, Any]) -> None:
     schema = ", ".join(
         f"{name} {'double' if name == 'elapsed_seconds' else 'string'}" for name in texts
     )
-    row = record_run(run.spark.createDataFrame([tuple(texts.values())], schema))
+    row = record_run(run.spark.createDataFrame([tuple(texts.values())], schema).coalesce(1))
     moment = F.lit(run.started_at.isoformat(sep=" ")).cast("timestamp")
     write_append(
         row.select(moment.alias("recorded_at"), *row.columns),

@@ -117,7 +117,7 @@ def run_suite(
         rows = C.evaluate(*arguments).collect()
     except C.SPARK_ERRORS:
         rows = C.evaluate_each(*arguments).collect()
-    results = spark.createDataFrame(rows, C.RESULT_SCHEMA)
+    results = spark.createDataFrame(rows, C.RESULT_SCHEMA).coalesce(1)
     if log_path is not None:
         try:
             write_append(log_rows(results, as_of, context), log_path, "validated_at")

@@ -6,9 +6,9 @@ only replaces folders with staged copies, so doing it again after a crash gives
 the same table. One writer per source at a time.
 
 Merged tables are laid out in hash buckets of the key. A load rewrites the
-buckets it has rows for and reads no others. Size the number of buckets so that
-one holds a few gigabytes; it is part of the partition column's name, so a table
-cannot be read or written under two layouts.
+buckets it has rows for and reads no others. A bucket is one task of the merge,
+so choose their number such that one holds a gigabyte or a few; it is part of
+the partition column's name, so a table cannot be written under two layouts.
 """
 
 from __future__ import annotations
@@ -114,6 +114,7 @@ class Warehouse:
         else:
             delta = dedup_latest(rows, keys, cursor)
         if disposition == "merge":
+            delta = self._keyed_as_before(delta, table, keys)
             delta = delta.withColumn(self.bucket, self._bucket_of(keys))
         delta.write.mode("overwrite").parquet(delta_path)
         staged = spark.read.parquet(delta_path)
@@ -123,20 +124,29 @@ class Warehouse:
         self._switch(spark, table, load_id, disposition)
         return staged.drop(self.bucket)
 
+    def _keyed_as_before(self, rows: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
+        """Keys in the types the table knows them by, so that they hash alike. A key
+        that does not fit raises."""
+        known = self.schema(rows.sparkSession, table)
+        if known is None:
+            return rows
+        return rows.withColumns({key: F.col(key).cast(known[key].dataType) for key in keys})
+
     def _bucket_of(self, keys: Sequence[str]) -> Column:
-        # Hashed as text, so that a key keeps its bucket if its number type widens.
-        texts = [F.col(key).cast("string") for key in keys]
-        return F.pmod(F.xxhash64(*texts), F.lit(self.buckets)).cast("int")
+        # The number of the task that Spark hashes these keys to among as many tasks
+        # as there are buckets.
+        return F.pmod(F.hash(*keys), F.lit(self.buckets)).cast("int")
 
     def _stage_merge(self, spark, table, staged, keys, load_id) -> None:
+        """Target and load move once, each bucket to its own task, where the join and
+        the write both find it."""
+        delta = staged.repartition(self.buckets, *keys)
         target = self._rows(spark, table)
-        if target is None:
-            merged = staged
-        else:
-            touched = self._touched(staged)
+        merged = delta
+        if target is not None:
+            touched = target.filter(F.col(self.bucket).isin(self._touched(staged)))
             merged = merge_upsert(
-                target.filter(F.col(self.bucket).isin(touched)),
-                staged, [self.bucket, *keys], unique_delta=True,
+                touched.repartition(self.buckets, *keys), delta, keys, unique_delta=True
             )
         self._write_buckets(merged, self._staged(table, load_id, "result"))
 
@@ -145,11 +155,7 @@ class Warehouse:
         return [row[0] for row in rows.select(self.bucket).distinct().collect()]
 
     def _write_buckets(self, rows: DataFrame, path: str) -> None:
-        # Rebalancing puts a bucket's rows together in files of a sensible size and
-        # splits a bucket that is too large for one task.
-        rows.hint("rebalance", F.col(self.bucket)).write.mode("overwrite").partitionBy(
-            self.bucket
-        ).parquet(path)
+        rows.write.mode("overwrite").partitionBy(self.bucket).parquet(path)
 
     def _switch(self, spark, table, load_id, disposition) -> None:
         """Replace folders with their staged copies, then commit."""

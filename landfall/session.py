@@ -20,11 +20,24 @@ SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Pin the zone to UTC and switch adaptive execution on."""
+# What one shuffle task should have to hold.
+TASK_BYTES = 128 * 2**20
+
+
+def configure(spark: SparkSession, largest_input_bytes: int | None = None) -> SparkSession:
+    """Pin the zone to UTC and switch adaptive execution on.
+
+    Adaptive execution merges shuffle partitions that turn out small but does not
+    add any, so it has to start with enough of them. Given the size of the largest
+    input, uncompressed, the number is raised to fit; it is never lowered.
+    """
     for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    if largest_input_bytes is not None:
+        wanted = -(-largest_input_bytes // TASK_BYTES)
+        if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+            spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return spark
 
 

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from landfall.contract import Contract
 from landfall.operators import checks as C, incremental as I
-from landfall.operators.merge import dedup_latest, merge_upsert
+from landfall.operators.merge import dedup_latest, merge_statement, merge_upsert
 from landfall.operators.requests import request_family
 from landfall.operators.runlog import latest_verdict
 from landfall.operators.shape import sample_landed, shape
 from landfall.plans.warehouse import Warehouse
+from landfall.session import configure
 
 
 def plan(df):
@@ -111,16 +112,39 @@ def test_a_parent_with_most_children_is_split(spark, orders, small_skew_limits):
 def test_a_merge_reads_and_writes_only_the_buckets_it_touches(spark, tmp_path):
     warehouse = Warehouse(str(tmp_path), "s", buckets=16)
     warehouse.land("t", spark.range(2000).select("id", F.lit("a").alias("v")), ["id"], "L1")
-    folder = tmp_path / "raw_s" / "t"
-    before = {f.parent.name: f.name for f in folder.glob("*/*.parquet")}
+    def files():
+        found = {}
+        for file in (tmp_path / "raw_s" / "t").glob("*/*.parquet"):
+            found.setdefault(file.parent.name, set()).add(file.name)
+        return found
+
+    before = files()
+    assert len(before) == 16 and all(len(names) == 1 for names in before.values())
     warehouse.land("t", spark.range(1, 2).select("id", F.lit("b").alias("v")), ["id"], "L2")
-    after = {f.parent.name: f.name for f in folder.glob("*/*.parquet")}
-    assert len(before) == len(after) == 16
+    after = files()
     assert sum(before[bucket] != after[bucket] for bucket in before) == 1
+    assert all(len(names) <= 2 for names in after.values())
     rows = warehouse.read(spark, "t")
     assert rows.count() == 2000 and rows.filter("v = 'b'").count() == 1
 
 
+def test_a_merge_moves_the_target_once(spark, tmp_path, small_skew_limits, monkeypatch):
+    warehouse = Warehouse(str(tmp_path), "s", buckets=16)
+    rows = spark.range(2000).select("id", F.lit("a").alias("v"))
+    warehouse.land("t", rows, ["id"], "L1")
+    seen = []
+    monkeypatch.setattr(Warehouse, "_write_buckets",
+                        lambda self, df, path: seen.append(plan(df)) or df.write.partitionBy(
+                            self.bucket).parquet(path))
+    warehouse.land("t", rows.filter("id < 500"), ["id"], "L2")
+    text = seen[0]
+    assert "SortMergeJoin" in text and "PartitionFilters: [_bucket_of_16" in text
+    assert all("hashpartitioning(id" in line for line in text.splitlines() if "Exchange" in line)
+    # One each for the target, the load, and the load's keys.
+    assert text.count("Exchange hashpartitioning") == 3
+    assert warehouse.read(spark, "t").count() == 2000
+
+
 def test_replaced_keys_are_reduced_before_they_move(orders):
     merged = merge_upsert(orders, orders.filter("customer < 5"), ["id"], "at")
     text = plan(merged)
@@ -130,3 +154,20 @@ def test_replaced_keys_are_reduced_before_they_move(orders):
 def test_orphans_are_counted_from_reduced_keys(orders):
     text = plan(C.orphan_keys(orders, "customer", orders, "id"))
     assert text.count("partial_count(1)") == 1 and "LeftAnti" in text
+
+
+def test_shuffles_start_wide_enough_for_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        configure(spark, 2**40)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8192"
+        configure(spark, 10)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8192"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_the_merge_statement_is_valid(spark):
+    parser = spark._jsparkSession.sessionState().sqlParser()
+    parsed = parser.parsePlan(merge_statement("raw_s.t", "delta", ["a", "b"])).toString()
+    assert "MergeIntoTable" in parsed
