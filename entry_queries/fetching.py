@@ -133,10 +133,12 @@ def parent_watermark_query(spark, sf_dir):
 @query("advance_watermark", """
 WITH w AS (SELECT o_orderstatus, CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS moved
            FROM orders)
-SELECT 'advances' AS run, greatest(TIMESTAMP '1998-01-01', max(coalesce(moved, TIMESTAMP '1970-01-01')))
-       AS watermark FROM w
+SELECT 'advances' AS run,
+       greatest(TIMESTAMP '1998-01-01', max(coalesce(moved, TIMESTAMP '1970-01-01'))) AS watermark
+FROM w
 UNION ALL
-SELECT 'stays', greatest(TIMESTAMP '2030-01-01', max(coalesce(moved, TIMESTAMP '1970-01-01'))) FROM w
+SELECT 'stays', greatest(TIMESTAMP '2030-01-01', max(coalesce(moved, TIMESTAMP '1970-01-01')))
+FROM w
 UNION ALL
 SELECT 'only nulls', greatest(TIMESTAMP '1970-01-01', max(coalesce(moved, TIMESTAMP '1970-01-01')))
 FROM w WHERE o_orderstatus = 'P'

@@ -43,9 +43,12 @@ def scan_envelope_auto_query(spark, sf_dir):
     events = event_pages(spark, sf_dir).select(
         F.to_json(F.create_map("resource", F.col("items"))).alias("body")
     )
-    regions = table(spark, sf_dir, "region").groupBy(
-        F.floor(F.col("r_regionkey") / PAGE_SIZE).alias("page")
-    ).agg(F.collect_list(F.struct("r_regionkey", "r_name")).alias("regions")).select(F.to_json(F.struct("regions", F.lit("x").alias("next"))).alias("body"))
+    regions = (
+        table(spark, sf_dir, "region")
+        .groupBy(F.floor(F.col("r_regionkey") / PAGE_SIZE).alias("page"))
+        .agg(F.collect_list(F.struct("r_regionkey", "r_name")).alias("regions"))
+        .select(F.to_json(F.struct("regions", F.lit("x").alias("next"))).alias("body"))
+    )
     empty = table(spark, sf_dir, "nation").select(
         F.to_json(
             F.struct("n_nationkey", F.lit(None).cast("string").alias("collections")),

@@ -11,6 +11,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from landfall.operators.joins import splittable
+
 # Table formats whose catalogs apply MERGE INTO row by row.
 ROW_LEVEL_PROVIDERS = ("delta", "hudi", "iceberg", "paimon")
 
@@ -53,8 +55,11 @@ def merge_upsert(
     reduced before they shuffle; whether they are then broadcast is decided from
     their measured size.
     """
-    latest = delta if unique_delta else dedup_latest(delta, keys, cursor)
-    replaced = delta.select(*keys).distinct()
+    if unique_delta:
+        latest, replaced = delta, delta.select(*keys)
+    else:
+        latest = dedup_latest(delta, keys, cursor)
+        replaced = splittable(delta.select(*keys).distinct(), keys)
     return target.join(replaced, list(keys), "left_anti").unionByName(
         latest, allowMissingColumns=True
     )

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from landfall.contract import WINDOWED_STRATEGIES, Contract, Resource, RunWindow
+from landfall.operators.joins import splittable
 from landfall.operators.shape import DELETED, LOAD_ID
 
 
@@ -48,7 +49,8 @@ def mark_deleted_counts(
 
 def absent_keys(target: DataFrame, fetched: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys the target holds that a complete fetch did not return."""
-    return target.select(*keys).join(fetched.select(*keys).distinct(), list(keys), "left_anti")
+    returned = splittable(fetched.select(*keys).distinct(), keys)
+    return target.select(*keys).join(returned, list(keys), "left_anti")
 
 
 @dataclass(frozen=True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
@@ -14,8 +14,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from landfall.contract import Contract, ContractError, Resource, RunWindow
 from landfall.functions.naming import snake_case
 from landfall.operators import incremental as I
-from landfall.operators.runlog import record_run, rows_this_run, table_counts
-from landfall.operators.shape import landed_key, landed_rows
+from landfall.operators.requests import requests_by_family, routes_of
+from landfall.operators.runlog import (
+    RUN_COLUMNS,
+    record_run,
+    rows_this_run,
+    schema_changes,
+    schema_rows,
+    table_counts,
+)
+from landfall.operators.shape import landed_key, landed_rows, sample_landed
 from landfall.operators.tombstone import soft_delete_eligible
 from landfall.plans.suite import write_append
 from landfall.plans.warehouse import Warehouse
@@ -98,13 +106,18 @@ def run_source(
     tombstone: bool = False,
     complete: Mapping[str, bool] | None = None,
     builders: Mapping[str, Builder] | None = None,
+    requests: DataFrame | None = None,
     context: Mapping[str, str | None] | None = None,
     publish: bool = False,
+    sample: int = 0,
 ) -> dict[str, Any]:
     """Land the selected resources and return the run's summary, which is also
     appended to the run log, whether the run succeeds or fails.
 
     Resources that are read whole go first, so that worklists see their parents.
+    ``requests`` are the URLs (column ``url``) this run asked for, ``complete`` says
+    per table whether its page chain was whole, and ``sample`` prints that many rows
+    of each table as they landed.
     """
     selected = sorted(contract.select(resources), key=_after_parents(contract))
     run = Run(spark, contract, warehouse, run_id, started_at, window, records, builders or {})
@@ -113,18 +126,36 @@ def run_source(
         "started_at": started_at.isoformat(), "mode": window.mode,
         "destination": warehouse.destination, "resources": [r.name for r in selected],
         "load_ids": [], "rows_this_run": {}, "warehouse_counts": {}, "status": "failed",
-        **(context or {}),
+        "requests_by_family": {}, **(context or {}),
     }
+    if window.mode == "window":
+        # These bound themselves by their own cursor, whatever range was asked for.
+        summary["window_ignored_by"] = [
+            r.name for r in selected if r.strategy in ("parent_fanout", "parent_watermark")
+        ]
     try:
         summary["recovered"] = warehouse.recover(spark)
+        before = _schemas(run, selected)
         for resource in selected:
-            _land(run, resource)
+            landed = _land(run, resource)
             summary["load_ids"].append(run.load_id(resource))
+            if sample:
+                print(f"{resource.name}, as landed:")
+                sample_landed(landed, landed_key(resource), sample).show(
+                    sample, truncate=False, vertical=True
+                )
         plan = soft_delete_eligible(contract, selected, window, tombstone, complete)
         summary["marked_deleted"] = warehouse.mark_deleted(
             spark, plan.eligible, summary["load_ids"]
         )
         summary["tombstones_skipped"] = dict(plan.skipped)
+        summary["schema_changes"] = [
+            tuple(row) for row in schema_changes(_schemas(run, selected), before).collect()
+        ]
+        if requests is not None:
+            summary["requests_by_family"] = _as_dict(
+                requests_by_family(requests, "url", routes_of(contract))
+            )
         tables = warehouse.read_all(spark, [r.name for r in selected])
         summary["warehouse_counts"] = _as_dict(table_counts(spark, tables))
         summary["rows_this_run"] = _as_dict(rows_this_run(spark, tables, summary["load_ids"]))
@@ -149,8 +180,15 @@ def _after_parents(contract: Contract) -> Callable[[Resource], int]:
     return depth
 
 
-def _land(run: Run, resource: Resource) -> None:
-    """Fetch by strategy, land, then move the cursor: data, ledger, cursor."""
+def _schemas(run: Run, selected: Sequence[Resource]) -> DataFrame:
+    """The landed schemas as rows: one per column of the contract's tables."""
+    tables = run.warehouse.read_all(run.spark, [r.name for r in selected])
+    return schema_rows(run.spark, {n: rows for n, rows in tables.items() if rows is not None})
+
+
+def _land(run: Run, resource: Resource) -> DataFrame:
+    """Fetch by strategy, land, then move the cursor: data, ledger, cursor. Returns
+    the rows that landed."""
     spark, warehouse = run.spark, run.warehouse
     state = warehouse.cursor(spark, resource.name)
     load_id = run.load_id(resource)
@@ -192,6 +230,7 @@ def _land(run: Run, resource: Resource) -> None:
         newest = reached.select(F.col("watermark").cast("timestamp")).first()[0]
         if newest is not None and (state is None or newest > state):
             warehouse.save_cursor(spark, resource.name, newest, load_id, run.started_at)
+    return staged
 
 
 def _as_dict(counts: DataFrame) -> dict[str, int | None]:
@@ -203,7 +242,7 @@ def _log(run: Run, summary: Mapping[str, Any]) -> None:
     texts = {
         name: json.dumps(value, default=str) if isinstance(value, (list, dict)) else value
         for name, value in summary.items()
-        if name not in ("recovered", "marked_deleted", "tombstones_skipped")
+        if name in RUN_COLUMNS
     }
     schema = ", ".join(
         f"{name} {'double' if name == 'elapsed_seconds' else 'string'}" for name in texts

@@ -94,6 +94,17 @@ def scan_envelope_auto(
     )
 
 
+def records_as_columns(
+    records: DataFrame, schema: T.StructType | str, record: str = "record"
+) -> DataFrame:
+    """VARIANT records as columns. A field the record lacks is null; a field typed
+    ``variant`` stays open, for values whose keys or types vary."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kept = [name for name in records.columns if name != record]
+    typed = records.withColumn(record, F.col(record).cast(schema))
+    return typed.select(*kept, f"{record}.*")
+
+
 def _follow(value: Column, path: str) -> Column:
     for step in path.split("."):
         value = value.getField(step)

@@ -55,7 +55,7 @@ def test_a_minimal_contract_gets_its_defaults():
     changed(["resources"], []),
     changed(["resources"], {"orders": 1}),
     changed(["resources"], ["orders"]),
-    changed(["resources", 0, "time_stamp_columns"], ["at"]),
+    changed(["resources", 0, "timestamp_column"], ["at"]),
     changed(["resources", 0, "primary_key"], None),
     changed(["resources", 0, "soft_delete"], True),
     changed(["resources", 0, "soft_delete"], "sometimes"),

@@ -87,7 +87,10 @@ def desk(spark, tmp_path_factory):
     warehouse = Warehouse(str(tmp_path_factory.mktemp("desk")), "desk", buckets=4)
     first = run(spark, warehouse, FIRST, "r1")
     cursors = {name: warehouse.cursor(spark, name) for name in ("deals", "notes", "calls")}
-    second = run(spark, warehouse, SECOND, "r2", tombstone=True, context={"dag_id": "hourly"})
+    urls = spark.createDataFrame([("https://x/tags?p=1",), ("https://x/tags",), ("/else",)],
+                                 "url string")
+    second = run(spark, warehouse, SECOND, "r2", tombstone=True, requests=urls,
+                 context={"dag_id": "hourly"})
     return warehouse, first, cursors, second
 
 
@@ -126,6 +129,13 @@ def test_only_the_flagged_run_tombstones_what_is_gone(spark, desk):
     assert rows(warehouse, spark, "tags", "text", "_deleted") == [("cold", True), ("hot", False)]
 
 
+def test_a_run_reports_schema_changes_and_requests(desk):
+    _, first, _, second = desk
+    assert ("deals", "archive_reason", "string") in first["schema_changes"]
+    assert second["schema_changes"] == []
+    assert second["requests_by_family"] == {"tags": 2, "unmatched": 1}
+
+
 def test_runs_are_logged(spark, desk):
     log = spark.read.parquet(f"{desk[0].base}/_run_log").orderBy("load_ids").collect()
     assert [r.status for r in log] == ["succeeded", "succeeded"]
@@ -162,8 +172,10 @@ def test_builders_supply_what_no_table_holds(spark, tmp_path):
     assert summary["warehouse_counts"] == {"tags": 1}
 
 
-def test_a_backfill_bounds_what_it_searches(spark, tmp_path):
+def test_a_backfill_bounds_what_it_searches(spark, tmp_path, capsys):
     warehouse = Warehouse(str(tmp_path), "desk", buckets=2)
     window = run_window(NOW, start=at(2), end=at(3))
-    run(spark, warehouse, FIRST, "b1", resources="deals", window=window)
+    summary = run(spark, warehouse, FIRST, "b1", resources="deals,notes", window=window, sample=1)
+    assert summary["window_ignored_by"] == ["notes"]
+    assert "deals, as landed:" in capsys.readouterr().out
     assert rows(warehouse, spark, "deals", "id") == [("d2",)]

@@ -192,8 +192,8 @@ def test_sampling_is_by_key(spark):
 
 
 @pytest.mark.parametrize("name, landed", [
-    ("updatedAt", "updated_at"), ("hiringManager", "hiring_manager"), ("id", "id"),
-    ("_deleted", "_deleted"), ("_opportunityUpdatedAt", "_opportunity_updated_at"),
+    ("updatedAt", "updated_at"), ("regionHead", "region_head"), ("id", "id"),
+    ("_deleted", "_deleted"), ("_dealUpdatedAt", "_deal_updated_at"),
     ("HTTPStatus", "http_status"), ("postingID", "posting_id"), ("already_snake", "already_snake"),
     ("with space", "with_space"), ("totalPrice2Pay", "total_price2_pay"),
 ])

@@ -1,17 +1,21 @@
 """Envelopes and chains of pages."""
 
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from landfall.contract import Resource
 from landfall.operators.checks import SPARK_ERRORS
+from landfall.operators.shape import shape
 from landfall.sources.envelope import (
     chain_complete,
     chain_ends,
     numbered_chain_gaps,
     page_chain_gaps,
     read_bodies,
+    records_as_columns,
     scan_envelope,
     scan_envelope_auto,
     scan_pages_numbered,
@@ -64,6 +68,26 @@ def test_the_list_is_found_whatever_its_key(spark):
         ("tie", "a", 5), ("types", "types", 3)]
 
 
+def test_found_records_can_be_shaped(spark):
+    df = pages(spark, ("mail", 1, {"mails": [
+        {"id": "m1", "created": 1785485066, "metrics": {"opened": 1785485074, "link:7": 5},
+         "campaign": 17},
+        {"id": "m2", "created": 1785485066000, "metrics": {"opened": "2026-07-31T08:04:34Z"}},
+        {"id": "m3"},
+    ]}))
+    records = records_as_columns(
+        scan_envelope_auto(df).drop("list_key"),
+        "id string, created variant, metrics variant, campaign bigint")
+    resource = Resource(
+        "mails", ("id",), timestamp_columns=("created",), hint_columns=("created", "opened_at"),
+        promote={"metrics.opened": "opened_at"})
+    rows = sorted(records.transform(shape(resource)).collect())
+    assert [r.created for r in rows] == [datetime(2026, 7, 31, 8, 4, 26)] * 2 + [None]
+    assert [r.opened_at for r in rows] == [datetime(2026, 7, 31, 8, 4, 34)] * 2 + [None]
+    assert json.loads(rows[0].metrics) == {"opened": 1785485074, "link:7": 5}
+    assert [r.campaign for r in rows] == [17, None, None] and rows[2].metrics is None
+
+
 def body(ids, total=None):
     return {"items": [{"id": i} for i in ids], "_meta": {"pageCount": total}}
 
