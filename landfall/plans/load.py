@@ -5,8 +5,11 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
+from itertools import groupby
+from threading import Lock
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -46,6 +49,7 @@ class Run:
     records: Mapping[str, DataFrame]
     builders: Mapping[str, Builder] = field(default_factory=dict)
     worklists: dict[tuple[str, Any], DataFrame] = field(default_factory=dict)
+    lock: Lock = field(default_factory=Lock)
 
     def load_id(self, resource: Resource) -> str:
         return f"{self.run_id}-{resource.name}"
@@ -86,12 +90,13 @@ class Run:
         if not parent.cursor_field:
             raise ContractError(f"{parent.name}: a watched parent needs a cursor_field")
         key = (parent.name, parent_key, since, resource.lookback_seconds)
-        if key not in self.worklists:
-            self.worklists[key] = I.changed_parents(
-                self.parent_rows(resource), parent_key, snake_case(parent.cursor_field),
-                since, resource.lookback_seconds,
-            ).persist()
-        return self.worklists[key]
+        with self.lock:
+            if key not in self.worklists:
+                self.worklists[key] = I.changed_parents(
+                    self.parent_rows(resource), parent_key, snake_case(parent.cursor_field),
+                    since, resource.lookback_seconds,
+                ).persist()
+            return self.worklists[key]
 
 
 def run_source(
@@ -110,16 +115,19 @@ def run_source(
     context: Mapping[str, str | None] | None = None,
     publish: bool = False,
     sample: int = 0,
+    parallel: int = 4,
 ) -> dict[str, Any]:
     """Land the selected resources and return the run's summary, which is also
     appended to the run log, whether the run succeeds or fails.
 
-    Resources that are read whole go first, so that worklists see their parents.
+    Resources that are read whole go first, so that worklists see their parents;
+    up to ``parallel`` resources that do not wait for each other land side by side.
     ``requests`` are the URLs (column ``url``) this run asked for, ``complete`` says
     per table whether its page chain was whole, and ``sample`` prints that many rows
     of each table as they landed.
     """
-    selected = sorted(contract.select(resources), key=_after_parents(contract))
+    depth = _after_parents(contract)
+    selected = sorted(contract.select(resources), key=depth)
     run = Run(spark, contract, warehouse, run_id, started_at, window, records, builders or {})
     clock = time.monotonic()
     summary: dict[str, Any] = {
@@ -136,14 +144,17 @@ def run_source(
     try:
         summary["recovered"] = warehouse.recover(spark)
         before = _schemas(run, selected)
-        for resource in selected:
-            landed = _land(run, resource)
-            summary["load_ids"].append(run.load_id(resource))
-            if sample:
-                print(f"{resource.name}, as landed:")
-                sample_landed(landed, landed_key(resource), sample).show(
-                    sample, truncate=False, vertical=True
-                )
+        for _, level in groupby(selected, key=depth):
+            together = list(level)
+            with ThreadPoolExecutor(max_workers=parallel) as pool:
+                landed = list(pool.map(lambda resource: _land(run, resource), together))
+            for resource, rows in zip(together, landed):
+                summary["load_ids"].append(run.load_id(resource))
+                if sample:
+                    print(f"{resource.name}, as landed:")
+                    sample_landed(rows, landed_key(resource), sample).show(
+                        sample, truncate=False, vertical=True
+                    )
         plan = soft_delete_eligible(contract, selected, window, tombstone, complete)
         summary["marked_deleted"] = warehouse.mark_deleted(
             spark, plan.eligible, summary["load_ids"]

@@ -3,7 +3,7 @@
 A table is a plain Parquet folder. A load is staged whole, entered in the ledger
 as prepared, switched in, and entered as committed, in that order. Switching
 only replaces folders with staged copies, so doing it again after a crash gives
-the same table. One writer per source at a time.
+the same table. One run per source at a time; its tables may land side by side.
 
 Merged tables are laid out in hash buckets of the key. A load rewrites the
 buckets it has rows for and reads no others. A bucket is one task of the merge,
@@ -84,13 +84,12 @@ class Warehouse:
     ) -> dict[str, DataFrame | None]:
         return {table: self.read(spark, table) for table in tables}
 
-    def ledger(self, spark: SparkSession) -> DataFrame:
-        return _log(spark, f"{self.base}/_ledger", LEDGER_SCHEMA)
+    def ledger(self, spark: SparkSession, table: str = "*") -> DataFrame:
+        return _log(spark, f"{self.base}/_ledger/{table}", LEDGER_SCHEMA)
 
     def is_committed(self, spark: SparkSession, table: str, load_id: str) -> bool:
-        entry = (F.col("table_name") == table) & (F.col("load_id") == load_id)
-        committed = entry & (F.col("state") == "committed")
-        return not self.ledger(spark).filter(committed).isEmpty()
+        committed = (F.col("load_id") == load_id) & (F.col("state") == "committed")
+        return not self.ledger(spark, table).filter(committed).isEmpty()
 
     # ── landing ──────────────────────────────────────────────────────────────
 
@@ -182,7 +181,7 @@ class Warehouse:
     def _enter(self, spark, table, load_id, disposition, state) -> None:
         entry = [(table, load_id, disposition, state)]
         spark.createDataFrame(entry, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(
-            f"{self.base}/_ledger"
+            f"{self.base}/_ledger/{table}"
         )
 
     def recover(self, spark: SparkSession) -> list[tuple[str, str]]:
@@ -230,10 +229,9 @@ class Warehouse:
     # ── cursors ──────────────────────────────────────────────────────────────
 
     def cursor(self, spark: SparkSession, resource: str) -> datetime | None:
-        states = _log(spark, f"{self.base}/_state", STATE_SCHEMA)
+        states = _log(spark, f"{self.base}/_state/{resource}", STATE_SCHEMA)
         mine = states.filter(
-            (F.col("source") == self.source) & (F.col("resource") == resource)
-            & (F.col("destination") == self.destination)
+            (F.col("source") == self.source) & (F.col("destination") == self.destination)
         )
         newest = cursor_state(mine).first()
         return newest.cursor if newest else None
@@ -246,7 +244,7 @@ class Warehouse:
         leads loses rows."""
         state = [(self.source, resource, self.destination, cursor, load_id, saved_at)]
         spark.createDataFrame(state, STATE_SCHEMA).coalesce(1).write.mode("append").parquet(
-            f"{self.base}/_state"
+            f"{self.base}/_state/{resource}"
         )
 
     # ── catalog ──────────────────────────────────────────────────────────────
