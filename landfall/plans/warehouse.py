@@ -88,8 +88,23 @@ class Warehouse:
         return _log(spark, f"{self.base}/_ledger/{table}", LEDGER_SCHEMA)
 
     def is_committed(self, spark: SparkSession, table: str, load_id: str) -> bool:
-        committed = (F.col("load_id") == load_id) & (F.col("state") == "committed")
-        return not self.ledger(spark, table).filter(committed).isEmpty()
+        return self._history(spark, table, load_id)[1]
+
+    def _history(
+        self, spark: SparkSession, table: str, load_id: str | None = None
+    ) -> tuple[str | None, bool]:
+        """How the table is written, None before its first load, and whether the
+        load is committed."""
+        is_it = (F.col("load_id") == load_id) & (F.col("state") == "committed")
+        entries = (
+            self.ledger(spark, table).groupBy("disposition").agg(F.bool_or(is_it)).collect()
+        )
+        written = [entry[0] for entry in entries if entry[0] != "tombstone"]
+        return (written[0] if written else None), any(entry[1] for entry in entries)
+
+    def _layout(self, disposition: str | None) -> list[str]:
+        """The columns a table's folders are named by."""
+        return {"merge": [self.bucket], "append": [LOAD_ID]}.get(disposition, [])
 
     # ── landing ──────────────────────────────────────────────────────────────
 
@@ -106,7 +121,10 @@ class Warehouse:
         committed lands nothing again."""
         spark = rows.sparkSession
         delta_path = self._staged(table, load_id, "delta")
-        if self.is_committed(spark, table, load_id):
+        before, committed = self._history(spark, table, load_id)
+        if before not in (None, disposition):
+            raise ValueError(f"{table} is a table of {before} loads, not {disposition}")
+        if committed:
             return spark.read.parquet(delta_path).drop(self.bucket)
         if disposition == "append":
             delta = rows
@@ -147,21 +165,24 @@ class Warehouse:
             merged = merge_upsert(
                 touched.repartition(self.buckets, *keys), delta, keys, unique_delta=True
             )
-        self._write_buckets(merged, self._staged(table, load_id, "result"))
+        self._write_parts(merged, self._staged(table, load_id, "result"), [self.bucket])
 
     def _touched(self, rows: DataFrame) -> list[int]:
         """Bucket numbers of a load: never more than there are buckets."""
         return [row[0] for row in rows.select(self.bucket).distinct().collect()]
 
-    def _write_buckets(self, rows: DataFrame, path: str) -> None:
-        rows.write.mode("overwrite").partitionBy(self.bucket).parquet(path)
+    def _write_parts(self, rows: DataFrame, path: str, by: Sequence[str]) -> None:
+        rows.write.mode("overwrite").partitionBy(*by).parquet(path)
 
     def _switch(self, spark, table, load_id, disposition) -> None:
         """Replace folders with their staged copies, then commit."""
         part = "result" if disposition in ("merge", "tombstone") else "delta"
         staged = read_if_present(spark, self._staged(table, load_id, part))
         if staged is not None:
-            by = {"append": [LOAD_ID], "replace": []}.get(disposition, [self.bucket])
+            written = disposition
+            if disposition == "tombstone":
+                written = self._history(spark, table)[0]
+            by = self._layout(written)
             self._record_schema(spark, table, staged, disposition)
             writer = staged.write.mode("overwrite")
             if by:
@@ -201,7 +222,7 @@ class Warehouse:
     def mark_deleted(
         self, spark: SparkSession, tables: Sequence[str], load_ids: Sequence[str]
     ) -> dict[str, int]:
-        """Flag stale rows per table and report how many. Only buckets that hold
+        """Flag stale rows per table and report how many. Only folders that hold
         stale rows are rewritten; a table without any is not written at all."""
         if not load_ids:
             return {}
@@ -211,16 +232,19 @@ class Warehouse:
             if rows is None:
                 marked[table] = 0
                 continue
+            by = self._layout(self._history(spark, table)[0])
             stale = (
-                rows.filter(is_stale(load_ids)).groupBy(self.bucket)
-                .agg(F.count(F.lit(1)).alias("rows")).collect()
+                rows.filter(is_stale(load_ids)).groupBy(*by)
+                .agg(F.count(F.lit(1)).alias("rows")).filter("rows > 0").collect()
             )
             marked[table] = sum(entry.rows for entry in stale)
             if stale:
-                touched = rows.filter(F.col(self.bucket).isin([e[0] for e in stale]))
+                held = rows
+                if by:
+                    held = rows.filter(F.col(by[0]).isin([entry[0] for entry in stale]))
                 load_id = f"{load_ids[-1]}-deleted"
-                self._write_buckets(
-                    mark_deleted(touched, load_ids), self._staged(table, load_id, "result")
+                self._write_parts(
+                    mark_deleted(held, load_ids), self._staged(table, load_id, "result"), by
                 )
                 self._enter(spark, table, load_id, "tombstone", "prepared")
                 self._switch(spark, table, load_id, "tombstone")
@@ -259,8 +283,8 @@ class Warehouse:
             name = f"`{self.dataset}`.`{table}`"
             if spark.catalog.tableExists(name) and spark.table(name).schema != schema:
                 spark.sql(f"DROP TABLE {name}")
-            by = next((c for c in (self.bucket, LOAD_ID) if c == schema.names[-1]), None)
-            layout = f"PARTITIONED BY (`{by}`)" if by else ""
+            by = self._layout(self._history(spark, table)[0])
+            layout = f"PARTITIONED BY (`{by[0]}`)" if by else ""
             spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet {layout} "
                 f"LOCATION '{self.path(table)}'"

@@ -133,9 +133,9 @@ def test_a_merge_moves_the_target_once(spark, tmp_path, small_skew_limits, monke
     rows = spark.range(2000).select("id", F.lit("a").alias("v"))
     warehouse.land("t", rows, ["id"], "L1")
     seen = []
-    monkeypatch.setattr(Warehouse, "_write_buckets",
-                        lambda self, df, path: seen.append(plan(df)) or df.write.partitionBy(
-                            self.bucket).parquet(path))
+    monkeypatch.setattr(Warehouse, "_write_parts",
+                        lambda self, df, path, by: seen.append(plan(df)) or df.write.partitionBy(
+                            *by).parquet(path))
     warehouse.land("t", rows.filter("id < 500"), ["id"], "L2")
     text = seen[0]
     assert "SortMergeJoin" in text and "PartitionFilters: [_bucket_of_16" in text

@@ -93,6 +93,22 @@ def test_absent_rows_are_tombstoned_and_revived(spark, warehouse):
     assert warehouse.mark_deleted(spark, ["t"], []) == {}
 
 
+@pytest.mark.parametrize("disposition, marked", [("append", 1), ("replace", 0)])
+def test_tables_that_are_not_merged_can_be_tombstoned_too(
+    spark, warehouse, disposition, marked
+):
+    for load_id, row in (("L1", (1, "a")), ("L2", (2, "b"))):
+        warehouse.land("t", load(spark, [row], load_id), ["id"], load_id, disposition)
+    assert warehouse.mark_deleted(spark, ["t"], ["L2"]) == {"t": marked}
+    kept = {"append": [(1, "a", True), (2, "b", False)], "replace": [(2, "b", False)]}
+    assert content(warehouse, spark) == kept[disposition]
+    warehouse.publish(spark, ["t"])
+    assert spark.table("raw_probe.t").count() == len(kept[disposition])
+    spark.sql("DROP DATABASE raw_probe CASCADE")
+    with pytest.raises(ValueError, match=f"a table of {disposition} loads"):
+        warehouse.land("t", load(spark, [], "L3"), ["id"], "L3", "merge")
+
+
 def test_cursors_are_kept_per_resource_and_destination(spark, warehouse, tmp_path):
     early, late = datetime(2024, 1, 1), datetime(2024, 1, 2)
     warehouse.save_cursor(spark, "t", late, "L2", late)
