@@ -32,9 +32,12 @@ INTERNAL_PREFIX = "_"
 
 
 def latest_verdict(log: DataFrame, order: Sequence[str] = ("validated_at",)) -> DataFrame:
-    """The newest row per check. Map tasks each keep one row per check."""
+    """The newest row per check, the other columns breaking ties. Map tasks each
+    keep one row per check."""
+    others = [name for name in log.columns if name not in (*CHECK_IDENTITY, *order)]
     newest = Window.partitionBy(*CHECK_IDENTITY).orderBy(
-        *[F.col(name).desc_nulls_last() for name in order]
+        *[F.col(name).desc_nulls_last() for name in order],
+        *[F.col(name).asc_nulls_first() for name in others],
     )
     return (
         log.withColumn("_rank", F.row_number().over(newest))
