@@ -17,11 +17,15 @@ def test_the_flagship_query_gives_verdicts(spark):
     assert rows and {"asset", "success"} <= set(rows[0].asDict())
 
 
+OWN = sorted(name for name, build in entry_points.queries().items()
+             if not build.__wrapped__.__module__.startswith(("landfall.llm", "corpus_pipeline")))
+
+
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(OWN) <= set(entry_points.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_sql(spark, name):
     assert difference(
         spark, SF_DIR, entry_points.queries()[name], entry_points.oracle_sql()[name]
