@@ -11,9 +11,14 @@ the threshold is missed less than once in 10^5 (``trees``).
 At similarity s a class pair meets in a tree's first node with chance s and survives each
 further branching with two children in 0.89 of the cases at s = 0.75 (the extinction
 probability q solves q = (1 - s + s q)^2), so at least 0.67 per tree at any depth: twelve trees
-miss 2 in 10^6. A sketch of 64 tokens keeps a pair if 28 agree; at 0.75 fewer do in
-about 1 of 10^7 pairs. Nothing is capped: a node that is still too large after the last
+miss 2 in 10^6. A sketch of 128 tokens keeps a pair if 74 agree; at 0.75 fewer do in
+about 3 of 10^6 pairs. Nothing is capped: a node that is still too large after the last
 branching is compared block by block.
+
+Nodes propose members, not pairs: whoever resembles another of a node, once per tree that
+first brings the two together, and the leader it surely resembles. Leaders are confirmed first;
+a node whose members that leaves unconnected compares their full sets in its task and gives
+the links that connect them.
 """
 
 from __future__ import annotations
@@ -32,10 +37,12 @@ from landfall.llm.graph import components
 SHINGLE = 5
 THRESHOLD = 75          # per cent: 100 * intersection >= THRESHOLD * union
 TREES = 12
-SKETCH = 64             # minwise tokens of 16 bits each
-SURE, POSSIBLE = 45, 28  # agreeing tokens: taken as a leader's, worth confirming
-NODE = 2048             # classes compared exhaustively in one task
+SKETCH = 128            # minwise tokens of 8 bits each
+SURE, POSSIBLE = 90, 74  # agreeing tokens: taken as a leader's, worth confirming
+NODE = 2048             # classes compared exhaustively in one task,
+NODE_SHINGLES = 8_000_000  # and shingles that they may have in all
 DEPTH = 6
+_HELD = 4_000_000       # shingles of texts that a confirming task keeps
 _MULTIPLIERS = arrays.mix(np.arange(1, SKETCH + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -72,8 +79,8 @@ def _describe(size: int, trees: int):
                 h2.append(int(arrays.mix(members ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64).view(np.int64)))
                 if len(members):
                     least = _tokens(members)
-                    sketches.append((least >> np.uint64(48)).astype("<u2").tobytes())
-                    tokens.append(least[:trees].view(np.int64).tolist())
+                    sketches.append((least >> np.uint64(56)).astype(np.uint8).tobytes())
+                    tokens.append(arrays.mix(least[:trees]).view(np.int64).tolist())
                 else:
                     sketches.append(None)
                     tokens.append(None)
@@ -95,95 +102,202 @@ def describe(rows: DataFrame, size: int, trees: int) -> DataFrame:
 def _agreeing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """How many tokens each sketch of the left has in common with each of the right."""
     out = np.zeros((len(left), len(right)), np.uint8)
-    for k in range(SKETCH):
-        out += left[:, k, None] == right[None, :, k]
+    left, right = np.ascontiguousarray(left.T), np.ascontiguousarray(right.T)
+    for mine, theirs in zip(left, right):
+        out += mine[:, None] == theirs[None, :]
     return out
 
 
-def _candidates(ids, sizes, sketches, roots, share: float, first: bool) -> list[np.ndarray]:
-    """Pairs of one node worth confirming. ``first``: each member and its leader only, where
-    a leader is the least id that surely resembles it; else all pairs not yet connected."""
-    order = np.argsort(ids, kind="stable")
-    ids, sizes, sketches, roots = ids[order], sizes[order], sketches[order], roots[order]
-    found = []
-    if first:
-        free = np.ones(len(ids), bool)
-        for i in range(len(ids)):
+def _blocks_of(sketches: np.ndarray):
+    for start in range(0, len(sketches), 256):
+        yield start, _agreeing(sketches[start:start + 256], sketches)
+
+
+class _Node:
+    """The classes of one node: ids, set sizes, trees that compare them, tree, tokens, sketches."""
+
+    def __init__(self, columns: list[np.ndarray], share: float):
+        order = np.argsort(columns[0], kind="stable")
+        self.ids, self.sizes, self.met, self.tree, self.tokens, self.sketches = (
+            column[order] for column in columns)
+        self.share = share
+
+    def fits(self, i, j):
+        """Whether the sizes allow the threshold at all."""
+        return (np.minimum(self.sizes[i], self.sizes[j])
+                >= self.share * np.maximum(self.sizes[i], self.sizes[j]))
+
+    def proposed(self) -> np.ndarray:
+        """``(member, leader)`` of each member that resembles another which no earlier tree has
+        compared it with. The leader is whoever surely resembles most, the least id among
+        equals; a member without one is its own."""
+        count = len(self.ids)
+        marked, many = np.zeros(count, bool), np.zeros(count, np.int64)
+        for start, counts in _blocks_of(self.sketches):
+            many[start:start + len(counts)] = (counts >= SURE).sum(axis=1)
+            i, j = np.nonzero(counts >= POSSIBLE)
+            i += start
+            i, j = i[j > i], j[j > i]
+            keep = self.fits(i, j)
+            i, j = i[keep], j[keep]
+            both = self.met[i] & self.met[j] & ((1 << np.minimum(self.tree[i], 62)) - 1)
+            for t in range(self.tokens.shape[1]):
+                both &= ~np.where(self.tokens[i, t] == self.tokens[j, t], 0, 1 << t)
+            marked[i[both == 0]] = marked[j[both == 0]] = True
+        leader = np.arange(count)
+        free = marked.copy()
+        for i in np.lexsort((self.ids, -many)):
+            if many[i] == 1:
+                break
             if free[i]:
-                rest = np.flatnonzero(free[i + 1:]) + i + 1
-                if not len(rest):
-                    break
-                near = rest[_agreeing(sketches[i:i + 1], sketches[rest])[0] >= SURE]
-                near = near[np.minimum(sizes[near], sizes[i]) >= share * np.maximum(sizes[near], sizes[i])]
+                rest = np.flatnonzero(free)
+                near = rest[(self.sketches[rest] == self.sketches[i]).sum(axis=1) >= SURE]
+                near = near[self.fits(near, i)]
                 free[near] = False
-                found.append(np.stack([np.full(len(near), ids[i]), ids[near]], axis=1))
-        return found
-    if (roots == roots[0]).all():
-        return found
-    for start in range(0, len(ids), 256):
-        block = slice(start, start + 256)
-        same = _agreeing(sketches[block], sketches[start:]) >= POSSIBLE
-        same &= roots[block, None] != roots[None, start:]
-        i, j = np.nonzero(same)
-        i, j = i[j > i], j[j > i]
-        i, j = i + start, j + start
-        fits = np.minimum(sizes[i], sizes[j]) >= share * np.maximum(sizes[i], sizes[j])
-        found.append(np.stack([ids[i[fits]], ids[j[fits]]], axis=1))
-    return found
-
-
-def _compare_nodes(share: float, first: bool):
-    """Over rows sorted by node: exhaustive comparison inside each node."""
+                leader[near] = i
+        return np.stack([self.ids[marked], self.ids[leader[marked]]], axis=1)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], columns) -> Iterator[tuple[int, list]]:
+    """The rows of each node, from batches sorted by node; ``columns`` makes arrays of a batch,
+    the node first."""
+    held: list[list] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        data = columns(batch)
+        cuts = [0, *(np.flatnonzero(np.diff(data[0])) + 1), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:]):
+            if held and held[0][0][0] != data[0][start]:
+                yield held[0][0][0], [np.concatenate(part) for part in zip(*held, strict=True)][1:]
+                held = []
+            held.append([column[start:end] for column in data])
+    if held:
+        yield held[0][0][0], [np.concatenate(part) for part in zip(*held, strict=True)][1:]
+
+
+def _compare_nodes(share: float):
+    """Over rows sorted by node: exhaustive comparison of the sketches inside each node."""
 
     def columns(batch: pa.RecordBatch) -> list[np.ndarray]:
-        sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u2")
-        return [*(batch.column(c).to_numpy() for c in ("node", "cls", "n", "root")),
-                sketch.reshape(-1, SKETCH)]
+        def wide(name: str, kind: str) -> np.ndarray:
+            joined = b"".join(batch.column(name).to_pylist())
+            return np.frombuffer(joined, kind).reshape(batch.num_rows, -1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
+        return [*(batch.column(c).to_numpy() for c in ("node", "cls", "n", "met", "tree")),
+                wide("tokens", "<u4"), wide("sketch", "u1")]
 
-        def flush(group: list[list[np.ndarray]]) -> list[np.ndarray]:
-            whole = [np.concatenate(part) for part in zip(*group, strict=True)]
-            return _candidates(whole[1], whole[2], whole[4], whole[3], share, first)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes, found, held = [], [], 0
 
-        def out(found: list[np.ndarray]) -> pa.RecordBatch:
+        def out() -> pa.RecordBatch:
             pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])],
-                                              names=["a", "b"])
+            named = np.repeat(np.array(nodes, np.int64), [len(part) for part in found])
+            return pa.RecordBatch.from_arrays([pa.array(named), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])],
+                                              names=["node", "cls", "leader"])
+
+        for node, group in _groups(batches, columns):
+            nodes.append(node)
+            found.append(_Node(group, share).proposed())
+            held += len(found[-1])
+            if held >= 8192 or len(found) >= 8192:
+                yield out()
+                nodes, found, held = [], [], 0
+        yield out()
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            data, found = columns(batch), []
-            cuts = [0, *(np.flatnonzero(np.diff(data[0])) + 1), batch.num_rows]
-            for start, end in zip(cuts, cuts[1:]):
-                part = [column[start:end] for column in data]
-                if held and held[-1][0][-1] != part[0][0]:
-                    found += flush(held)
-                    held = []
-                held.append(part)
-            yield out(found)
-        if held:
-            yield out(flush(held))
+    return run
+
+
+def _link_nodes(size: int, threshold: int):
+    """Over rows sorted by node: links, on full sets, that connect what is not connected yet."""
+
+    def columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+        sets = np.empty(batch.num_rows, object)
+        sets[:] = [shingle_set(text, size) for text in arrays.raw_texts(batch.column("_text"))]
+        return [*(batch.column(c).to_numpy() for c in ("node", "cls", "root")), sets]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, (ids, roots, sets) in _groups(batches, columns):
+            links = connecting_links(sets, roots, threshold)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[links[:, 0]]), pa.array(ids[links[:, 1]])], names=["a", "b"])
 
     return run
 
 
+def connecting_links(sets: np.ndarray, roots: np.ndarray, threshold: int) -> np.ndarray:
+    """Pairs of similar sets that, with what ``roots`` connects, connect all that links do."""
+    count = len(sets)
+    sizes = np.array([len(s) for s in sets])
+    _, group = np.unique(roots, return_inverse=True)
+    largest = np.bincount(group).argmax()
+    # Of two sets in different groups one is not in the largest.
+    asked = np.flatnonzero(group != largest)
+    if not len(asked):
+        return np.zeros((0, 2), np.int64)
+    # The sets that hold each shingle, for shingles of at least two.
+    every, owner = np.concatenate(sets), np.repeat(np.arange(count), sizes)
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], owner[order]
+    new = np.diff(every, prepend=every[0] ^ np.uint64(1)) != 0
+    run = np.cumsum(new) - 1
+    many = np.bincount(run)
+    common = many[run] > 1
+    run, owner = run[common], owner[common]
+    _, run = np.unique(run, return_inverse=True)
+    many = np.bincount(run, minlength=1)
+    starts = np.cumsum(many) - many
+    is_asked = group != largest
+    shared = np.zeros((len(asked), count), np.float32)
+    single = int(many[run[is_asked[owner]]].sum())
+    if single * 10 < len(asked) * count * len(many) / 15:   # nanoseconds of either way
+        by_owner = np.argsort(owner, kind="stable")
+        bounds = np.searchsorted(owner[by_owner], np.arange(count + 1))
+        for i, row in zip(asked, shared):
+            mine = run[by_owner[bounds[i]:bounds[i + 1]]]
+            at = np.repeat(starts[mine] - np.cumsum(many[mine]) + many[mine], many[mine])
+            row += np.bincount(owner[at + np.arange(len(at))], minlength=count)
+    else:
+        for first in range(0, len(many), 2048):
+            inside = (run >= first) & (run < first + 2048)
+            holds = np.zeros((count, min(2048, len(many) - first)), np.float32)
+            holds[owner[inside], run[inside] - first] = 1
+            shared += holds[asked] @ holds.T
+    found = []
+    for i, row in zip(asked.tolist(), shared):
+        linked = 100 * row.astype(np.int64) >= threshold * (sizes[i] + sizes - row.astype(np.int64))
+        for j in np.flatnonzero(linked & (group != group[i])).tolist():
+            if group[j] != group[i]:
+                found.append((i, j))
+                group[group == group[j]] = group[i]
+    return np.array(found, np.int64).reshape(-1, 2)
+
+
 def _confirm(size: int, threshold: int):
     """Keeps the pairs whose full sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, None)
+        known: dict[int, np.ndarray] = {}
+        held = 0
+
+        def members(cls: int, text: pa.Scalar) -> np.ndarray:
+            nonlocal held
+            if cls not in known:
+                if held > _HELD:
+                    known.clear()
+                    held = 0
+                known[cls] = shingle_set(text.as_buffer().to_pybytes(), size)
+                held += len(known[cls])
+            return known[cls]
+
         for batch in batches:
             keep = []
-            a = batch.column("a").to_numpy()
-            for i, (left, right) in enumerate(zip(arrays.raw_texts(batch.column("text_a")),
-                                                  arrays.raw_texts(batch.column("text_b")))):
-                if last[0] != a[i]:
-                    last = (a[i], shingle_set(left, size))
-                one, two = last[1], shingle_set(right, size)
-                shared = len(np.intersect1d(one, two, assume_unique=True))
+            for a, b, left, right in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(),
+                                         batch.column("text_a"), batch.column("text_b")):
+                one, two = members(a, left), members(b, right)
+                both = np.concatenate([one, two])
+                both.sort(kind="stable")
+                shared = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * shared >= threshold * (len(one) + len(two) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -191,15 +305,19 @@ def _confirm(size: int, threshold: int):
 
 
 def _token(k: Column) -> Column:
-    """The k-th 16-bit token of a sketch."""
-    return F.substring("sketch", k * 2 + 1, F.lit(2))
+    """The k-th token of a sketch."""
+    return F.substring("sketch", k + 1, F.lit(1))
 
 
 def _nodes(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Memberships in nodes of at least two classes: those to compare, those to branch."""
-    sizes = members.groupBy("node").agg(F.count("*").alias("many")).where("many > 1")
-    told = members.join(sizes, "node")
-    return told.where(F.col("many") <= NODE), told.where(F.col("many") > NODE)
+    sizes = members.groupBy("node").agg(
+        F.count("*").alias("many"), F.sum("n").alias("shingles")).where("many > 1")
+    told = members.join(sizes, "node").withColumn("parts", F.greatest(
+        F.ceil(F.col("many") / NODE), F.ceil(F.col("shingles") / NODE_SHINGLES)).cast("int"))
+    # Two sets are compared however large they are.
+    fits = (F.col("parts") == 1) | (F.col("many") == 2)
+    return told.where(fits).drop("many", "shingles"), told.where(~fits).drop("many", "shingles")
 
 
 def _hang_on_leaders(large: DataFrame) -> DataFrame:
@@ -214,17 +332,16 @@ def _branch(large: DataFrame, depth: int) -> DataFrame:
     child = F.explode(F.array(F.lit(0), F.lit(1))).alias("child")
     chosen = F.pmod(F.xxhash64("node", F.lit(depth), "child"), F.lit(SKETCH)).cast("int")
     return (large.select("node", "cls", "n", "sketch", child)
-            .select(F.xxhash64("node", "child", _token(chosen)).alias("node"), "cls", "n", "sketch"))
+            .select(F.xxhash64("node", "child", _token(chosen)).alias("node"), "cls", "n"))
 
 
 def _blocks(large: DataFrame) -> DataFrame:
     """Nodes that no branching made small: one node for each two of their blocks."""
-    count = F.ceil(F.col("many") / (NODE // 2)).cast("int")
     mine = F.pmod(F.xxhash64("cls"), F.col("count")).cast("int")
-    return (large.withColumn("count", count).withColumn("mine", mine)
+    return (large.withColumn("count", 2 * F.col("parts")).withColumn("mine", mine)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
             .select(F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other"))
-                    .alias("node"), "cls", "n", "sketch"))
+                    .alias("node"), "cls"))
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
@@ -257,43 +374,44 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                           F.col("least")).otherwise(F.col("h1")))
         .select("cls", "h1", "h2", "least", "n", "sketch", "tokens",
                 F.col("rep._id").alias("rep_id"), F.col("rep.which").alias("rep_which")), "classes")
-    card = classes.select("cls", "n", "sketch")
 
-    def with_cards(members: DataFrame) -> DataFrame:
-        return members.join(card, "cls")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """The pairs that are links, by the texts that stand for their classes."""
-        pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                        .distinct(), "pairs")
-        wanted = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select(F.col("b").alias("cls"))).distinct()
-        reps = classes.select("cls", "rep_id", "rep_which").join(wanted, "cls")
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        """The texts that stand for the classes ``cls`` of a table."""
+        reps = classes.select("cls", "rep_id", "rep_which").join(wanted.select("cls").distinct(), "cls")
         texts = rows.withColumn("which", which_text())
-        texts = (texts.join(reps, texts["_id"].eqNullSafe(reps["rep_id"])
-                            & (texts["which"] == reps["rep_which"]))
-                 .select("cls", "_text"))
-        if described_repeats:
+        texts = texts.join(reps, texts["_id"].eqNullSafe(reps["rep_id"])
+                           & (texts["which"] == reps["rep_which"])).select("cls", "_text")
+        if repeats:
             texts = texts.groupBy("cls").agg(F.min("_text").alias("_text"))
-        texts = written(texts, "texts")
+        return written(texts, "texts")
+
+    def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        """The pairs that are links."""
         right = texts.select(F.col("cls").alias("b"), F.col("_text").alias("text_b"))
         left = texts.select(F.col("cls").alias("a"), F.col("_text").alias("text_a"))
         joined = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
         return written(joined.mapInArrow(_confirm(shingle, threshold), "a long, b long"), "links")
 
     # Rows that repeat both id and text would fetch a text twice.
-    described_repeats = bool(described.where("n > 0").groupBy("_id", "which").count()
+    repeats = bool(described.where("n > 0").groupBy("_id", "which").count()
                              .where("count > 1").limit(1).count())
 
     nothing = spark.createDataFrame([], "a long, b long")
-    first_level = F.posexplode("tokens").alias("tree", "token")
-    members = classes.select("cls", first_level).select(
-        F.xxhash64("tree", "token").alias("node"), "cls")
+    members = classes.select("cls", "n", F.posexplode("tokens").alias("tree", "token")).select(
+        F.xxhash64("tree", "token").alias("node"), "cls", "n", "tree")
     small, large = _nodes(members)
-    small = written(with_cards(small.select("node", "cls")), "nodes")
-    large = written(with_cards(large.select("node", "cls", "many")), "nodes")
+    small, large = written(small, "nodes"), written(large, "nodes")
+    # What a node needs to know of a class; met: the trees whose first node compares it.
+    short = F.expr("unhex(array_join(transform(tokens, t -> lpad(hex(t & 4294967295L), 8, '0')), ''))")
+    met = small.groupBy("cls").agg(F.bit_or(F.expr("shiftleft(1L, tree)")).alias("met"))
+    card = written(classes.select("cls", "n", "sketch", short.alias("tokens")).join(met, "cls", "left")
+                   .withColumn("met", F.coalesce("met", F.lit(0).cast("long"))), "cards")
+    roots = spark.createDataFrame([], "node long, root long")
     parts, links, depth = [small], nothing, 0
     while large.limit(1).count():
-        links = links.unionAll(confirmed(_hang_on_leaders(large)))
+        pairs = written(_hang_on_leaders(large), "pairs")
+        wanted = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select(F.col("b").alias("cls")))
+        links = links.unionAll(confirmed(pairs, texts_of(wanted)))
         roots = components(links)
         open_nodes = (large.join(roots, large["cls"] == roots["node"], "left")
                       .select(large["node"], F.coalesce("root", "cls").alias("root"))
@@ -303,25 +421,34 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
         if depth == DEPTH:
             parts.append(written(_blocks(large), "nodes"))
             break
-        less, large = _nodes(_branch(large, depth))
-        parts.append(written(less.select("node", "cls", "n", "sketch"), "nodes"))
-        large = written(large.select("node", "cls", "n", "sketch", "many"), "nodes")
+        less, large = _nodes(_branch(large.join(card.select("cls", "sketch"), "cls"), depth))
+        parts.append(written(less, "nodes"))
+        large = written(large, "nodes")
         depth += 1
-    members = parts[0].select("node", "cls", "n", "sketch")
+    # Level, not tree, for members of branched nodes: they come after every first node.
+    members = parts[0].select("node", "cls", "tree")
     for part in parts[1:]:
-        members = members.unionAll(part.select("node", "cls", "n", "sketch"))
-
-    def compared(labelled: DataFrame, first: bool) -> DataFrame:
-        return (labelled.select("node", "cls", "n", "sketch", "root")
-                .repartition("node").sortWithinPartitions("node")
-                .mapInArrow(_compare_nodes(threshold / 100, first), "a long, b long"))
-
-    stars = compared(members.withColumn("root", F.col("cls")), True)
-    links = links.unionAll(confirmed(stars))
+        members = members.unionAll(part.select("node", "cls", F.lit(62).alias("tree")))
+
+    proposed = written(
+        members.join(card, "cls")
+        .select("node", "cls", "n", "met", F.col("tree").cast("long").alias("tree"), "tokens", "sketch")
+        .repartition("node").sortWithinPartitions("node")
+        .mapInArrow(_compare_nodes(threshold / 100), "node long, cls long, leader long"), "proposed")
+    texts = texts_of(proposed.select("cls").unionAll(proposed.select(F.col("leader").alias("cls"))))
+    pairs = proposed.where("cls <> leader").select(
+        F.least("cls", "leader").alias("a"), F.greatest("cls", "leader").alias("b")).distinct()
+    links = links.unionAll(confirmed(pairs, texts))
     roots = components(links)
-    labelled = (members.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-                .withColumn("root", F.coalesce("root", "cls")))
-    links = links.unionAll(confirmed(compared(labelled, False)))
+
+    rooted = proposed.select("node", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left").select(
+        "node", "cls", F.coalesce("root", "cls").alias("root"))
+    open_nodes = (rooted.groupBy("node").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                  .where("lo <> hi").select("node"))
+    links = links.unionAll(written(
+        rooted.join(open_nodes, "node", "left_semi").join(texts, "cls")
+        .select("node", "cls", "root", "_text").repartition("node").sortWithinPartitions("node")
+        .mapInArrow(_link_nodes(shingle, threshold), "a long, b long"), "links"))
     roots = components(links)
 
     grouped = classes.join(roots, classes["cls"] == roots["node"], "left").select(
