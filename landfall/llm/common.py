@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +43,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def filter_by_text(df: DataFrame, text_col: str, keep: Callable[[list[bytes | None]], list[bool]]) -> DataFrame:
+    """The rows of ``df``, all columns as they are, whose text is to be kept; nothing is shuffled."""
+    small_batches(df.sparkSession)
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [x.as_buffer().to_pybytes() if x.is_valid else None for x in batch.column(at)]
+            yield batch.filter(pa.array(keep(texts), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.llm import arrays
-from landfall.llm.common import text_rows, which_text
+from landfall.llm.common import filter_by_text, text_rows, which_text
 
 GRAM = 8
 BUDGET = 0.10               # edits per character of an item
@@ -217,6 +217,33 @@ def _search(index: Index, gram: int):
     return run
 
 
+def indexes(benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text", *,
+            share: float = BUDGET, gram: int = GRAM, block_chars: int = BLOCK_CHARS) -> list[Index]:
+    """The items' q-grams, in as many blocks as their characters need; one block at least."""
+    items = benchmark.select(F.col(item_id).cast("long").alias("item"),
+                             F.col(item_text).cast("string").alias("text")).where("length(text) > 0")
+    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // block_chars))
+    out = []
+    for block in range(blocks):
+        part = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("item", "text")
+        out.append(build_index([(r.item, r.text) for r in part.collect()], share, gram))
+    return out
+
+
+def drop_contaminated(df: DataFrame, benchmark: DataFrame, text_col: str = "text", *, item_id: str = "item_id",
+                      item_text: str = "text", share: float = BUDGET, gram: int = GRAM,
+                      block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``df`` in which ``find_passages`` finds nothing, all columns as they are."""
+    out = df
+    for index in indexes(benchmark, item_id, item_text, share=share, gram=gram, block_chars=block_chars):
+        def clean(texts: list[bytes | None], index: Index = index) -> list[bool]:
+            return [not text or not passages(plain(text.decode())[0], index, gram) for text in texts]
+
+        out = filter_by_text(out, text_col, clean)
+    return out
+
+
 def find_passages(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                   item_id: str = "item_id", item_text: str = "text", share: float = BUDGET,
                   gram: int = GRAM, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -233,14 +260,8 @@ def find_passages(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
     over the texts.
     """
     rows = text_rows(df, id_col, text_col).select("_id", which_text().alias("which"), "_text")
-    items = benchmark.select(F.col(item_id).cast("long").alias("item"),
-                             F.col(item_text).cast("string").alias("text")).where("length(text) > 0")
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_chars))
     out = None
-    for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("item", "text")
-        index = build_index([(r.item, r.text) for r in part.collect()], share, gram)
+    for index in indexes(benchmark, item_id, item_text, share=share, gram=gram, block_chars=block_chars):
         found = rows.mapInArrow(_search(index, gram), "_id long, _which int, item long, "
                                 "start long, end long, edits long")
         out = found if out is None else out.unionAll(found)

@@ -461,3 +461,16 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     return told.select(
         F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.col("_id").eqNullSafe(component).alias("kept"), F.col("which").alias("_which"))
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The rows of ``df`` that ``near_dedup`` keeps, all columns as they are, and rows without an
+    id whose group has none either."""
+    told = near_dedup(df, id_col, text_col, **settings)
+    wanted = told.where(F.col("kept") | F.col("component_id").isNull()).select(
+        F.col(id_col).alias("_kept_id"), F.col("_which").alias("_kept_which")).distinct()
+    packed = df.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_id"),
+                       F.col(text_col).cast("string").alias("_text"))
+    packed = packed.select("_row", "_id", which_text().alias("which"))
+    same = packed["_id"].eqNullSafe(wanted["_kept_id"]) & (packed["which"] == wanted["_kept_which"])
+    return packed.join(wanted, same, "left_semi").select("_row.*")

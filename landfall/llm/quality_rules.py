@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.llm import arrays, boosting
-from landfall.llm.common import text_rows, which_text, written
+from landfall.llm.common import filter_by_text, text_rows, which_text
 
 TRAIN_ROWS = 20_000     # labelled texts fitted on, those of the least hash of the id
 LEAST_SCORE = 0.5
@@ -59,36 +59,43 @@ def counts_and_statistics(text: bytes | None) -> tuple[tuple[int, ...], tuple[fl
     return (words, chars, symbols, dup_lines, repeated), tuple(map(float, statistics))
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        told = [counts_and_statistics(text) for text in arrays.raw_texts(batch.column("_text"))]
-        columns = [pa.array([counts[k] for counts, _ in told], pa.int64()) for k in range(len(COUNTS))]
-        statistics = pa.array([stats for _, stats in told], pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("_id"), batch.column("which"), *columns, statistics],
-            names=["_id", "which", *COUNTS, "statistics"])
+def _rejected(counts: tuple[int, ...]) -> bool:
+    """The base rules: too few words, or more than half of them in repeated triples."""
+    words, repeated = counts[0], counts[4]
+    return words < 50 or 100 * repeated > 50 * words
 
 
-def _score(model: boosting.Trees | None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat = batch.column("statistics").flatten().to_numpy()
-            rows = flat.reshape(batch.num_rows, len(STATISTICS))
-            score = boosting.sigmoid(model.margin(rows)) if model else np.ones(batch.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("_id", "which", *COUNTS)), pa.array(score)],
-                names=["_id", "which", *COUNTS, "score"])
-
-    return run
+def _judge(model: boosting.Trees | None, texts: list[bytes | None], least: float):
+    """Counts, base verdicts, kept and scores of some texts."""
+    told = [counts_and_statistics(text) for text in texts]
+    rows = np.array([statistics for _, statistics in told]).reshape(-1, len(STATISTICS))
+    score = boosting.sigmoid(model.margin(rows)) if model else np.ones(len(rows))
+    failed = np.array([_rejected(counts) for counts, _ in told], bool)
+    return [counts for counts, _ in told], failed, ~failed & (score >= least), score
 
 
-def fit_quality(described: DataFrame, labels: DataFrame, id_col: str, label_col: str,
-                train_rows: int = TRAIN_ROWS) -> boosting.Trees | None:
-    """Trees fitted on a bounded number of labelled rows; None if labels are of one kind."""
+def fit_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
+                label_col: str = "quality", train_rows: int = TRAIN_ROWS) -> boosting.Trees | None:
+    """Trees fitted on at most ``train_rows`` labelled texts, those whose ids hash lowest; None if
+    their labels are of one kind. Ids are drawn from the labels, so only drawn texts are read
+    closely and only their statistics travel."""
     known = labels.select(F.col(id_col).cast("long").alias("_id"),
                           (F.col(label_col) > 0).cast("int").alias("label")).dropna()
-    sample = (described.select("_id", "which", "statistics").join(known, "_id")
-              .orderBy(F.xxhash64("_id"), "_id", "which", "label").limit(train_rows)
+    last = (known.select(F.xxhash64("_id").alias("draw")).orderBy("draw").limit(train_rows)
+            .agg(F.max("draw")).first()[0])
+    if last is None:
+        return None
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = [counts_and_statistics(text)[1] for text in arrays.raw_texts(batch.column("_text"))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id"), pa.array(told, pa.list_(pa.float64()))], names=["_id", "statistics"])
+
+    sample = (text_rows(df, id_col, text_col).where(F.xxhash64("_id") <= last)
+              .mapInArrow(describe, "_id long, statistics array<double>")
+              .join(known.where(F.xxhash64("_id") <= last), "_id")
+              .orderBy(F.xxhash64("_id"), "_id", "statistics", "label").limit(train_rows)
               .select("statistics", "label").collect())
     target = np.array([row.label for row in sample], float)
     if len(np.unique(target)) < 2:
@@ -96,34 +103,33 @@ def fit_quality(described: DataFrame, labels: DataFrame, id_col: str, label_col:
     return boosting.fit(np.array([row.statistics for row in sample]), target, monotone=_MONOTONE)
 
 
-def quality_rules(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
-                  learn_from: DataFrame | None = None, label_col: str = "quality",
-                  train_rows: int = TRAIN_ROWS, least_score: float = LEAST_SCORE) -> DataFrame:
-    """Judge texts by base rules and by trees fitted to ``labels``.
+def quality_rules(df: DataFrame, model: boosting.Trees | None, id_col: str = "doc_id",
+                  text_col: str = "text", *, least_score: float = LEAST_SCORE) -> DataFrame:
+    """Judge texts by base rules and by fitted trees.
 
     Returns one row per row of ``df``: the id, ``n_words``, ``word_chars``, ``n_symbols``,
     ``n_dup_lines``, ``n_repeat_words``, ``base_failed``, ``kept``, ``score`` (the trees' chance
-    that the text is good) and ``_which`` (a hash of the text). The trees learn from labelled
-    rows of ``learn_from`` (``df`` if absent), at most ``train_rows`` of them, those whose ids
-    hash lowest. Null and blank texts have no words and fail. Labels without an id or value are
-    not learned from; if one kind is left, the base rules decide alone. Repeated rows are judged
-    alike; an empty table gives no rows.
+    that the text is good) and ``_which`` (a hash of the text). Null and blank texts have no
+    words and fail. Without a model the base rules decide alone. Repeated rows are judged alike;
+    an empty table gives no rows.
     """
-    schema = ("_id long, which int, " + ", ".join(f"{c} long" for c in COUNTS)
-              + ", statistics array<double>")
-
-    def described(table: DataFrame, text: str) -> DataFrame:
-        rows = text_rows(table, id_col, text).select("_id", which_text().alias("which"), "_text")
-        return written(rows.mapInArrow(_describe, schema), "statistics")
-
-    rows = described(df, text_col)
-    taught = rows if learn_from is None else described(
-        learn_from.join(labels.select(F.col(id_col).alias("_labelled")).distinct(),
-                        learn_from[id_col] == F.col("_labelled"), "left_semi"), text_col)
-    model = fit_quality(taught, labels, id_col, label_col, train_rows)
-    scored = rows.mapInArrow(_score(model), schema.rpartition(",")[0] + ", score double")
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return scored.select(
-        F.col("_id").alias(id_col), *COUNTS, failed.alias("base_failed"),
-        (~failed & (F.col("score") >= least_score)).alias("kept"), "score",
-        F.col("which").alias("_which"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, failed, kept, score = _judge(
+                model, list(arrays.raw_texts(batch.column("_text"))), least_score)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id"), *(pa.array([c[k] for c in counts], pa.int64()) for k in range(len(COUNTS))),
+                 pa.array(failed), pa.array(kept), pa.array(score), batch.column("which")],
+                names=["_id", *COUNTS, "base_failed", "kept", "score", "_which"])
+
+    schema = ("_id long, " + ", ".join(f"{c} long" for c in COUNTS)
+              + ", base_failed boolean, kept boolean, score double, _which int")
+    rows = text_rows(df, id_col, text_col).select("_id", which_text().alias("which"), "_text")
+    return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+
+
+def keep_good(df: DataFrame, model: boosting.Trees | None, text_col: str = "text", *,
+              least_score: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``df`` that ``quality_rules`` keeps, all columns as they are."""
+    return filter_by_text(df, text_col, lambda texts: _judge(model, texts, least_score)[2].tolist())

@@ -288,30 +288,32 @@ def remove_spans(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]
     return b"".join(kept), count
 
 
-def _remove(window: int, with_text: bool):
+def _byte_spans(found: list[dict] | None, window: int) -> list[tuple[int, int]]:
+    """First and last byte (excluded) of what repeats, from the anchors' windows."""
+    spans = []
+    for run in found or ():
+        inner = run["spans"] if run["spans"] is not None else [0, run["n"]]
+        spans += [(run["start"] + a, run["start"] + a + n + window - 1)
+                  for a, n in zip(inner[::2], inner[1::2])]
+    return spans
+
+
+def _remove(window: int):
     names = ["_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "_which"]
-    names += ["kept_text"] * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = batch.column("found").to_pylist()
-            out: list[list] = [[] for _ in range(5)]
+            out: list[list] = [[] for _ in range(4)]
             for text, runs in zip(arrays.raw_texts(batch.column("_text")), found):
-                text, spans = text or b"", []
-                for run_ in runs or ():
-                    first, inner = run_["start"], run_["spans"]
-                    inner = inner if inner is not None else [0, run_["n"]]
-                    spans += [(first + a, first + a + n + window - 1)
-                              for a, n in zip(inner[::2], inner[1::2])]
-                kept, count = remove_spans(text, spans)
-                row = (len(text), len(text) - len(kept), count, hashlib.sha256(kept).hexdigest(),
-                       kept.decode("utf-8", "ignore") if with_text else None)
+                text = text or b""
+                kept, count = remove_spans(text, _byte_spans(runs, window))
+                row = len(text), len(text) - len(kept), count, hashlib.sha256(kept).hexdigest()
                 for column, value in zip(out, row):
                     column.append(value)
-            columns = [batch.column("_id"), *(pa.array(c, pa.int64()) for c in out[:3]),
-                       pa.array(out[3], pa.string()), batch.column("which")]
             yield pa.RecordBatch.from_arrays(
-                columns + [pa.array(out[4], pa.string())] * with_text, names=names)
+                [batch.column("_id"), *(pa.array(c, pa.int64()) for c in out[:3]),
+                 pa.array(out[3], pa.string()), batch.column("which")], names=names)
 
     return run
 
@@ -355,24 +357,57 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
             .select("_id", "which", "start", "n", "spans"))
 
 
+def _with_found(rows: DataFrame, keyed: DataFrame, window: int) -> DataFrame:
+    """``keyed`` (which has ``_id`` and ``which``) with what repeats in each row's text."""
+    spans = repeated_spans(rows, window)
+    found = spans.groupBy(F.col("_id").alias("_by"), F.col("which").alias("_w")).agg(
+        F.collect_list(F.struct("start", "n", "spans")).alias("found"))
+    return keyed.join(found, keyed["_id"].eqNullSafe(found["_by"]) & (keyed["which"] == found["_w"]), "left")
+
+
 def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
-                 window: int = WINDOW, with_text: bool = False) -> DataFrame:
+                 window: int = WINDOW) -> DataFrame:
     """Remove each byte of a string of ``window`` bytes that also starts anywhere else.
 
     Returns one row per row of ``df``: the id, ``n_bytes``, ``n_removed``, ``n_spans``
-    (maximal removed runs), ``kept_sha256``, ``_which`` (a hash of the text) and with
-    ``with_text`` the ``kept_text``, where a character that a cut has split is dropped.
+    (maximal removed runs), ``kept_sha256`` and ``_which`` (a hash of the text).
     Strings do not cross texts and are judged on the input, the same text included. A
     null text counts as empty; texts shorter than ``window`` stay whole; rows that repeat,
     or lack an id, are texts like any other. An empty table gives no rows.
     """
     rows = text_rows(df, id_col, text_col)
-    spans = repeated_spans(rows, window)
-    found = spans.groupBy(F.col("_id").alias("id"), F.col("which").alias("w")).agg(
-        F.collect_list(F.struct("start", "n", "spans")).alias("found"))
-    keyed = rows.select("_id", which_text().alias("which"), "_text")
-    joined = keyed.join(found, keyed["_id"].eqNullSafe(found["id"]) & (keyed["which"] == found["w"]), "left")
-    schema = ("_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
-              "_which int" + ", kept_text string" * with_text)
-    return (joined.select("_id", "which", "_text", "found").mapInArrow(_remove(window, with_text), schema)
+    joined = _with_found(rows, rows.select("_id", which_text().alias("which"), "_text"), window)
+    schema = "_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, _which int"
+    return (joined.select("_id", "which", "_text", "found").mapInArrow(_remove(window), schema)
             .withColumnRenamed("_id", id_col))
+
+
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
+                   chars_col: str | None = "n_chars", window: int = WINDOW) -> DataFrame:
+    """The rows of ``df`` with their texts as ``suffix_dedup`` leaves them, other columns as they are.
+
+    A character that a cut splits is dropped. ``chars_col``, where the table has it, is set to the
+    code points that are left; null texts stay null.
+    """
+    rows = text_rows(df, id_col, text_col)
+    packed = df.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_id"),
+                       F.col(text_col).cast("string").alias("_text"))
+    keyed = packed.select("_row", "_id", which_text().alias("which"), "_text")
+    columns, schema = df.columns, df.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text, runs in zip(arrays.raw_texts(batch.column("_text")), batch.column("found").to_pylist()):
+                spans = _byte_spans(runs, window)
+                texts.append(text if text is None or not spans
+                             else remove_spans(text, spans)[0].decode("utf-8", "ignore").encode())
+            kept = pa.array(texts, pa.binary()).cast(pa.string())
+            out = dict(zip(columns, batch.column("_row").flatten()))
+            out[text_col] = kept
+            if chars_col in out:
+                counts = pa.array([None if t is None else len(t.decode()) for t in texts], pa.int64())
+                out[chars_col] = counts.cast(out[chars_col].type)
+            yield pa.RecordBatch.from_arrays([out[c] for c in columns], names=columns)
+
+    return (_with_found(rows, keyed, window).select("_row", "_text", "found").mapInArrow(run, schema))
