@@ -320,11 +320,23 @@ def _nodes(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return told.where(fits).drop("many", "shingles"), told.where(~fits).drop("many", "shingles")
 
 
-def _hang_on_leaders(large: DataFrame) -> DataFrame:
-    """Each member of a large node with the node's least class."""
+def _hang_on_leaders(large: DataFrame, card: DataFrame) -> DataFrame:
+    """Members of large nodes that surely resemble the node's least class, with that class."""
     leaders = large.groupBy("node").agg(F.min("cls").alias("a"))
-    return (large.join(leaders, "node").where("cls <> a")
-            .select("a", F.col("cls").alias("b")).distinct())
+    sketch = card.select("cls", "sketch")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH)
+                        for c in ("one", "two"))
+            near = (one == two).sum(axis=1) >= SURE
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    mine = sketch.select(F.col("cls").alias("b"), F.col("sketch").alias("two"))
+    theirs = sketch.select(F.col("cls").alias("a"), F.col("sketch").alias("one"))
+    pairs = large.join(leaders, "node").where("cls <> a").select("a", F.col("cls").alias("b")).distinct()
+    return (pairs.join(mine, "b").join(theirs, "a").select("a", "b", "one", "two")
+            .mapInArrow(run, "a long, b long"))
 
 
 def _branch(large: DataFrame, depth: int) -> DataFrame:
@@ -409,15 +421,16 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     roots = spark.createDataFrame([], "node long, root long")
     parts, links, depth = [small], nothing, 0
     while large.limit(1).count():
-        pairs = written(_hang_on_leaders(large), "pairs")
-        wanted = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select(F.col("b").alias("cls")))
-        links = links.unionAll(confirmed(pairs, texts_of(wanted)))
-        roots = components(links)
-        open_nodes = (large.join(roots, large["cls"] == roots["node"], "left")
-                      .select(large["node"], F.coalesce("root", "cls").alias("root"))
-                      .groupBy("node").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                      .where("lo <> hi").select("node"))
-        large = large.join(open_nodes, "node", "left_semi")
+        pairs = written(_hang_on_leaders(large, card), "pairs")
+        if pairs.limit(1).count():      # a node of one dense group is closed, not branched on
+            wanted = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select(F.col("b").alias("cls")))
+            links = links.unionAll(confirmed(pairs, texts_of(wanted)))
+            roots = components(links)
+            open_nodes = (large.join(roots, large["cls"] == roots["node"], "left")
+                          .select(large["node"], F.coalesce("root", "cls").alias("root"))
+                          .groupBy("node").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                          .where("lo <> hi").select("node"))
+            large = large.join(open_nodes, "node", "left_semi")
         if depth == DEPTH:
             parts.append(written(_blocks(large), "nodes"))
             break
