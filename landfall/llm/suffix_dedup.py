@@ -1,19 +1,20 @@
 """Repeated byte strings, found by column-wise suffix sorting of many strings at once.
 
 Every string of ``window`` bytes is owned by its anchor, the least gram hash inside
-it: equal strings have equal anchors, so only texts around one anchor need be sorted
-together. Anchors that occur once are left out by a count. Around the others a segment of
-at most 368 bytes holds the strings that the anchor owns; equal segments are one. What
-is left are segments that differ but share an anchor.
-
-They are sorted in collections of a bounded number of strings, whole anchors at a time. Each
-round inserts one symbol of every string, right to left: the place of each new suffix
-follows from the collection's Burrows-Wheeler transform, which grows by a symbol per
-string, and so do the common prefixes of neighbours, from those of the round before. Both
-are streams that a round reads and writes front to back. A suffix with a neighbour that
-agrees on ``window`` bytes starts a repeated string. The files between steps are Spark's
-shuffles and tables, so an anchor of any frequency is spread over tasks: beyond
-``MOST`` different segments an anchor's strings are dealt by their own hash and counted.
+it: equal strings have equal anchors at the same place, so only texts around one anchor need
+be sorted together. Anchors that occur once are left out by a count. Around the others a
+segment of at most 368 bytes holds the strings that the anchor owns; equal segments are one.
+What is left are segments that differ but share an anchor.
+
+They are sorted in collections of a bounded number of strings, whole anchors at a time, laid
+under each other so that their anchors stand in one column. Each round goes one column to the
+left and puts one symbol of every string before its suffix: a stable sort of the suffixes by
+these symbols, that is by the collection's Burrows-Wheeler transform at this column, gives
+their new order, and the common prefixes of neighbours follow from the least of those between
+two rows of one symbol. A round reads the arrays of the last one front to back and writes its own. A
+suffix with a neighbour that agrees on ``window`` bytes starts a repeated string. The files
+between steps are Spark's shuffles and tables, so an anchor of any frequency is spread over
+tasks: beyond ``MOST`` different segments an anchor's strings are dealt by their own hash and counted.
 """
 
 from __future__ import annotations
@@ -32,15 +33,16 @@ from landfall.llm.common import text_rows, which_text, written
 
 WINDOW = 200
 GRAM = 32
-COLLECTION = 768    # strings sorted together, more only if one anchor has more
-MOST = 20_000       # different segments of one anchor sorted in one task
+COLLECTION = 8192   # strings sorted together, more only if one anchor has more
+MOST = 100_000      # different segments of one anchor sorted in one task
 _PIECE = 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 
 
 def anchors(raw: np.ndarray, window: int = WINDOW, gram: int = GRAM):
-    """``(key, start, count)`` of runs of windows that one anchor owns, in order."""
-    keys, starts, counts = [], [], []
+    """``(key, start, count, at)`` of runs of windows that one anchor owns, in order; ``at`` is
+    the anchor's distance from the first window's start."""
+    keys, starts, counts, ats = [], [], [], []
     for first in range(0, len(raw) - window + 1, _PIECE):
         grams = arrays.byte_gram_hashes(raw[first:first + _PIECE + window - 1], gram)
         least = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
@@ -55,9 +57,11 @@ def anchors(raw: np.ndarray, window: int = WINDOW, gram: int = GRAM):
         keys.append(grams[place[cuts]])
         starts.append(cuts + first)
         counts.append(np.diff(np.append(cuts, len(place))))
+        ats.append(place[cuts] - cuts)
     if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(starts), np.concatenate(counts)
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), none, none, none
+    return tuple(map(np.concatenate, (keys, starts, counts, ats)))
 
 
 def _halves(digest: bytes) -> tuple[int, int]:
@@ -79,19 +83,19 @@ def _anchor_keys(window: int):
 def _segments(window: int):
     schema = pa.schema([("key", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()),
                         ("_id", pa.int64()), ("which", pa.int32()), ("start", pa.int64()),
-                        ("n", pa.int32())])
+                        ("shape", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, keys, starts, counts, digests = [], [], [], [], []
+            rows, keys, starts, shapes, digests = [], [], [], [], []
             for row, text in enumerate(arrays.raw_texts(batch.column("_text"))):
                 if not text:
                     continue
-                key, start, count = anchors(np.frombuffer(text, np.uint8), window)
+                key, start, count, at = anchors(np.frombuffer(text, np.uint8), window)
                 rows.append(np.full(len(key), row))
                 keys.append(key)
                 starts.append(start)
-                counts.append(count)
+                shapes.append((count << 10) + at)
                 digests += [xxhash.xxh3_128_digest(text[a:b])
                             for a, b in zip(start.tolist(), (start + count + window - 1).tolist())]
             if not keys:
@@ -101,93 +105,62 @@ def _segments(window: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(keys).view(np.int64)), pa.array(both[:, 0]),
                  pa.array(both[:, 1]), batch.column("_id").take(at), batch.column("which").take(at),
-                 pa.array(np.concatenate(starts)), pa.array(np.concatenate(counts).astype(np.int32))],
+                 pa.array(np.concatenate(starts)), pa.array(np.concatenate(shapes).astype(np.int32))],
                 schema=schema)
 
     return run
 
 
-def repeated_starts(strings: list[bytes], window: int) -> list[np.ndarray]:
-    """For each string the starts of its windows that also start elsewhere in the collection.
+def repeated_starts(strings: list[bytes], group: np.ndarray, at: np.ndarray, window: int) -> list[np.ndarray]:
+    """For each string the starts of its windows that another of its group has at the same
+    distance from its anchor, which stands ``at`` that place. ``group`` numbers are ascending.
 
-    Column by column: round j inserts the suffixes of length j of all strings.
+    Column by column: a round puts the symbols of one column before the suffixes.
     """
     count = len(strings)
-    lengths = np.array([len(s) for s in strings])
-    longest = int(lengths.max())
-    # Symbols 1..256, right-aligned; 0 ends a string.
-    table = np.zeros((longest + 1, count), np.uint16)
-    for i, s in enumerate(strings):
-        table[:len(s), i] = np.frombuffer(s, np.uint8)[::-1]
-        table[:len(s), i] += 1
-    used = np.unique(table)
-    codes = np.searchsorted(used, table).astype(np.uint8 if len(used) <= 256 else np.uint16)
-    bwt = codes[0].copy()                     # before the empty suffixes
-    lcp = np.zeros(count, np.uint16)          # shared with the row above
-    order = np.arange(count)                  # strings by the place of their last suffix
-    place = np.arange(count)
-    final = np.zeros(0, np.int64)
-    owner = np.full(count, -1, np.int32)      # what window a row starts: string * width + start
-    width = longest + 1
-    for size in range(1, longest + 1):
-        going = lengths[order] >= size
-        order, place = order[going], place[going]
-        ranked = np.argsort(bwt, kind="stable")
-        ends = np.searchsorted(bwt[ranked], 1)      # rows before which a string starts
-        home = np.empty(len(bwt), np.int64)
-        home[ranked] = np.arange(len(bwt))
-        at = home[place]                            # in the order of all extended suffixes
-        # The nearest rows that the same symbol precedes, and the least prefix between.
-        symbol = bwt[place]
-        above = ranked[at - 1]
-        has_above = (at > 0) & (bwt[above] == symbol)
-        below = ranked[np.minimum(at + 1, len(ranked) - 1)]
-        has_below = (at + 1 < len(ranked)) & (bwt[below] == symbol)
-        up = _least_between(lcp, above[has_above], place[has_above])
-        down = _least_between(lcp, place[has_below], below[has_below])
-        new_lcp = np.zeros(len(place), np.uint16)
-        new_lcp[has_above] = up + 1
-        row = at - ends + count                     # the empty suffixes stand first
-        order_new = np.argsort(row, kind="stable")
-        order, row = order[order_new], row[order_new]
-        fresh = np.zeros(len(bwt) + len(row), bool)
-        fresh[row] = True
-        old = ~fresh
-        grown = np.empty(len(fresh), bwt.dtype)
-        grown[old] = bwt
-        grown[row] = codes[size, order]
-        prefixes = np.empty(len(fresh), np.uint16)
-        prefixes[old] = lcp
-        prefixes[row] = new_lcp[order_new]
-        after = home[below[has_below]] - ends + count
-        prefixes[after] = down + 1
-        if size >= window:
-            names = np.empty(len(fresh), np.int32)
-            names[old] = owner
-            names[row] = order * width + (lengths[order] - size)
-            owner = names
-        elif size == window - 1:
-            owner = np.full(len(fresh), -1, np.int32)
-        bwt, lcp, place = grown, prefixes, row
-    long = lcp >= window
-    long[:-1] |= long[1:]
-    final = np.sort(owner[long & (owner >= 0)])
-    cuts = np.searchsorted(final, np.arange(count + 1) * width)
-    return [final[a:b] - i * width for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-
-
-def _least_between(lcp: np.ndarray, above: np.ndarray, below: np.ndarray) -> np.ndarray:
-    """The least common prefix on the rows after ``above`` up to and with ``below``."""
-    if not len(above):
-        return np.zeros(0, np.uint16)
-    order = np.argsort(above, kind="stable")
-    ends = np.empty(2 * len(above), np.int64)
-    ends[::2] = above[order] + 1
-    ends[1::2] = below[order] + 1
-    padded = np.append(lcp, np.uint16(0))
-    out = np.empty(len(above), np.uint16)
-    out[order] = np.minimum.reduceat(padded, ends)[::2]
-    return out
+    sizes = np.array([len(s) for s in strings])
+    text = np.frombuffer(b"".join(strings), np.uint8)
+    zero = np.cumsum(sizes) - sizes + at            # where each string's anchor stands in the text
+    joins = np.argsort(-(sizes - at), kind="stable")
+    reach = (sizes - at)[joins]                     # columns at and after the anchor, longest first
+    rows, lcp, joined = np.zeros(0, np.int64), np.zeros(0, np.uint16), 0
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for column in range(int(reach[0]) - 1, -int(at.max()) - 1, -1):
+        # Strings that begin here (an empty suffix stands last), and those that go on.
+        upto = int(np.searchsorted(-reach, -column, "left"))
+        fresh, joined = joins[joined:upto], upto
+        old = np.flatnonzero(at[rows] >= -column)
+        ids = np.concatenate([rows[old], fresh])
+        if not len(ids):
+            rows, lcp = ids, lcp[:0]
+            continue
+        key = (group[ids] << 8) + text[zero[ids] + column]
+        order = np.argsort(key, kind="stable")
+        rows, key = ids[order], key[order]
+        before = np.concatenate([old, np.full(len(fresh), -1)])[order]
+        # Rows of one symbol that both went on: the least prefix on the rows between them.
+        pair = np.flatnonzero((key[1:] == key[:-1]) & (before[1:] >= 0)) + 1
+        grown = np.zeros(len(rows), np.uint16)
+        if len(pair):
+            bounds = np.empty(2 * len(pair), np.int64)
+            bounds[::2] = before[pair - 1] + 1
+            bounds[1::2] = before[pair] + 1
+            least = np.minimum.reduceat(np.append(lcp, np.uint16(0)), bounds)[::2]
+            grown[pair] = least
+        same = np.flatnonzero(key[1:] == key[:-1]) + 1
+        grown[same] += 1
+        lcp = grown
+        long = lcp >= window
+        if long.any():
+            long[:-1] |= long[1:]
+            hit = rows[long]
+            found.append((hit, column + at[hit]))
+    if not found:
+        return [np.zeros(0, np.int64)] * count
+    who, where = (np.concatenate(part) for part in zip(*found))
+    order = np.lexsort((where, who))
+    cuts = np.searchsorted(who[order], np.arange(count + 1))
+    return [where[order[a:b]] for a, b in zip(cuts, cuts[1:])]
 
 
 def _spans(starts: np.ndarray) -> list[int]:
@@ -204,26 +177,31 @@ def _sort_collections(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: list[tuple[int, int, int]] = []
         strings: list[bytes] = []
+        places: list[int] = []
 
         def flush(end: int) -> pa.RecordBatch:
             out: tuple[list, ...] = ([], [], [], [])
-            if end > 1:
-                for name, starts in zip(names, repeated_starts(strings[:end], window)):
-                    if len(starts):
-                        for column, value in zip(out, (*name, _spans(starts))):
-                            column.append(value)
-            del names[:end], strings[:end]
+            keys = np.array([name[0] for name in names[:end]])
+            group = np.cumsum(np.diff(keys, prepend=keys[0]) != 0)
+            at = np.array(places[:end])
+            for name, starts in zip(names, repeated_starts(strings[:end], group, at, window)):
+                if len(starts):
+                    for column, value in zip(out, (*name, _spans(starts))):
+                        column.append(value)
+            del names[:end], strings[:end], places[:end]
             return pa.RecordBatch.from_arrays(
                 [pa.array(column, field.type) for column, field in zip(out, schema)], schema=schema)
 
         last = None
         for batch in batches:
             ids = zip(*(batch.column(c).to_pylist() for c in ("key", "s1", "s2")))
-            for name, piece in zip(ids, arrays.raw_texts(batch.column("piece"))):
+            for name, at, piece in zip(ids, batch.column("at").to_pylist(),
+                                       arrays.raw_texts(batch.column("piece"))):
                 if name[0] != last and len(strings) >= COLLECTION:
                     yield flush(len(strings))
                 last = name[0]
                 names.append(name)
+                places.append(at)
                 strings.append(piece)
         if strings:
             yield flush(len(strings))
@@ -234,13 +212,15 @@ def _sort_collections(window: int):
 def _cut(window: int):
     """The bytes of the wanted segments of each text."""
     schema = pa.schema([("key", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()),
-                        ("piece", pa.binary())])
+                        ("at", pa.int32()), ("piece", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = batch.column("wanted")
             flat = wanted.flatten()
-            starts, counts = flat.field("start").to_pylist(), flat.field("n").to_pylist()
+            starts = flat.field("start").to_pylist()
+            shape = flat.field("shape").to_numpy()
+            counts, places = (shape >> 10).tolist(), pa.array(shape & 1023, pa.int32())
             sizes = np.diff(wanted.offsets.to_numpy()).tolist()
             done, cut = 0, []
             for text, size in zip(arrays.raw_texts(batch.column("_text")), sizes):
@@ -250,7 +230,7 @@ def _cut(window: int):
             for first in range(0, len(cut), 4096):
                 part = slice(first, first + 4096)
                 yield pa.RecordBatch.from_arrays(
-                    [*(flat.field(c)[part] for c in ("key", "s1", "s2")),
+                    [*(flat.field(c)[part] for c in ("key", "s1", "s2")), places[part],
                      pa.array(cut[part], pa.binary())], schema=schema)
 
     return run
@@ -326,21 +306,21 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     keys = rows.select("_text").mapInArrow(_anchor_keys(window), "key long")
     shared = keys.groupBy("key").agg(F.count("*").alias("many")).where("many > 1").select("key")
     segments = rows.mapInArrow(
-        _segments(window), "key long, s1 long, s2 long, _id long, which int, start long, n int")
+        _segments(window), "key long, s1 long, s2 long, _id long, which int, start long, shape int")
     found = written(segments.join(shared, "key", "left_semi"), "segments")
     different = written(found.groupBy("key", "s1", "s2").agg(
-        F.count("*").alias("many"), F.min(F.struct("_id", "which", "start", "n")).alias("first")),
+        F.count("*").alias("many"), F.min(F.struct("_id", "which", "start", "shape")).alias("first")),
         "different")
     mixed = different.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1")
     wanted = different.join(mixed, "key").select(
         F.col("first._id").alias("_id"), F.col("first.which").alias("which"),
         F.struct("key", "s1", "s2", F.col("first.start").alias("start"),
-                 F.col("first.n").alias("n")).alias("one"))
+                 F.col("first.shape").alias("shape")).alias("one"))
     by_text = wanted.groupBy(F.col("_id").alias("id"), F.col("which").alias("w")).agg(
         F.collect_list("one").alias("wanted"))
     holds = rows["_id"].eqNullSafe(by_text["id"]) & (rows["which"] == by_text["w"])
     pieces = written(rows.join(by_text, holds).select("_text", "wanted").mapInArrow(
-        _cut(window), "key long, s1 long, s2 long, piece binary"), "pieces")
+        _cut(window), "key long, s1 long, s2 long, at int, piece binary"), "pieces")
     often = mixed.where(F.col("kinds") > MOST).select("key")
     spans = (pieces.join(often, "key", "left_anti").repartition("key").sortWithinPartitions("key")
              .mapInArrow(_sort_collections(window), "key long, s1 long, s2 long, spans array<int>"))
@@ -354,7 +334,7 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     all_of = different.where("many > 1").select("key", "s1", "s2", F.lit(None).cast("array<int>").alias("spans"))
     some = partly.join(all_of.select("key", "s1", "s2"), ["key", "s1", "s2"], "left_anti")
     return (found.join(all_of.unionAll(some), ["key", "s1", "s2"])
-            .select("_id", "which", "start", "n", "spans"))
+            .select("_id", "which", "start", F.shiftright("shape", 10).alias("n"), "spans"))
 
 
 def _with_found(rows: DataFrame, keyed: DataFrame, window: int) -> DataFrame:

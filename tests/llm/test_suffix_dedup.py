@@ -58,9 +58,13 @@ def test_columns_of_symbols_give_the_repeated_windows():
         letters = rng.choice([b"ab", b"abc", bytes(range(256)), b"a"])
         strings = [bytes(rng.choice(letters) for _ in range(rng.randint(window, window + 20)))
                    for _ in range(rng.randint(1, 12))]
-        count = Counter(s[i:i + window] for s in strings for i in range(len(s) - window + 1))
-        want = [[i for i in range(len(s) - window + 1) if count[s[i:i + window]] > 1] for s in strings]
-        assert [x.tolist() for x in repeated_starts(strings, window)] == want
+        group = np.sort([rng.randint(0, 2) for _ in strings])
+        at = np.array([rng.randrange(len(s)) for s in strings])
+        count = Counter((g, i - a, s[i:i + window]) for g, a, s in zip(group, at, strings)
+                        for i in range(len(s) - window + 1))
+        want = [[i for i in range(len(s) - window + 1) if count[g, i - a, s[i:i + window]] > 1]
+                for g, a, s in zip(group, at, strings)]
+        assert [x.tolist() for x in repeated_starts(strings, group, at, window)] == want
 
 
 def test_equal_windows_have_equal_anchors_and_each_has_one(monkeypatch):
@@ -70,8 +74,10 @@ def test_equal_windows_have_equal_anchors_and_each_has_one(monkeypatch):
     owner = []
     for before in (0, 37, 310):
         raw = np.concatenate([rng.integers(0, 256, before).astype(np.uint8), passage])
-        keys, starts, counts = anchors(raw)
+        keys, starts, counts, at = anchors(raw)
         assert (np.repeat(starts, counts) + np.concatenate([np.arange(c) for c in counts])
                 == np.arange(len(raw) - 199)).all()
-        owner.append(np.repeat(keys, counts)[before:before + 61])
+        own = np.stack([np.repeat(keys, counts).view(np.int64),
+                        np.repeat(starts + at, counts) - np.arange(len(raw) - 199)])
+        owner.append(own[:, before:before + 61])
     assert (owner[0] == owner[1]).all() and (owner[0] == owner[2]).all()
