@@ -8,9 +8,10 @@ from entry_queries.inputs import landed_customers, table
 from entry_queries.registry import query
 from landfall.functions.timestamps import format_cursor
 from landfall.operators import incremental as I
-from landfall.operators.joins import splittable
 from landfall.operators.merge import merge_upsert
 from landfall.operators.tombstone import absent_keys, mark_deleted, mark_deleted_counts
+from landfall.plans.warehouse import Warehouse
+from landfall.session import scratch_folder
 
 LAST = datetime(2000, 12, 31)
 FLOOR = datetime(1998, 1, 1)
@@ -208,26 +209,26 @@ SELECT o_orderkey, o_orderstatus, year(o_orderdate) AS load_year,
 FROM orders
 """)
 def recover_pending_query(spark, sf_dir):
-    loads = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("load_year"),
-        F.concat(F.lit("L"), F.year("o_orderdate").cast("string")).alias("load_id"),
-        F.lit("orders").alias("table_name"),
-    )
-    committed = loads.filter(F.col("load_year") < 2000)
-    pending = I.pending_loads(
-        loads.select("table_name", "load_id").distinct(),
-        committed.select("table_name", "load_id").distinct(),
-    )
-    key = ["table_name", "load_id"]
-    replayed = loads.join(splittable(pending, key), key, "left_semi")
-    table_rows = merge_upsert(
-        committed.withColumn("via", F.lit("landed")),
-        replayed.withColumn("via", F.lit("recovered")),
-        ["o_orderkey"],
-    )
-    return table_rows.select(
-        "o_orderkey", "o_orderstatus", F.col("load_year").cast("bigint").alias("load_year"), "via"
+    """The load of the later years is prepared, and its driver is lost before it is switched
+    in; the next run finds and finishes it."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", F.year("o_orderdate").cast("bigint").alias("load_year")
     )
+    late = F.col("load_year") >= 2000
+
+    class Lost(Warehouse):
+        def _switch(self, *args):
+            raise ConnectionError("the driver is gone")
+
+    root = scratch_folder(spark, "recover")
+    warehouse = Warehouse(root, "shop", buckets=8)
+    warehouse.land("orders", orders.filter(~late).withColumn("via", F.lit("landed")), ["o_orderkey"], "L1")
+    try:
+        Lost(root, "shop", buckets=8).land(
+            "orders", orders.filter(late).withColumn("via", F.lit("recovered")), ["o_orderkey"], "L2")
+    except ConnectionError:
+        warehouse.recover(spark)
+    return warehouse.read(spark, "orders")
 
 
 LANDED_SQL = """

@@ -13,7 +13,7 @@ from landfall.sources.envelope import (
     scan_envelope_auto,
     scan_pages_numbered,
 )
-from landfall.sources.tables import scan_projected
+from landfall.sources.tables import ensure_database, scan_projected, table_scan
 
 RECORD = "event_id bigint, user_id bigint, at string"
 
@@ -37,25 +37,36 @@ def scan_envelope_query(spark, sf_dir):
 @query("scan_envelope_auto", """
 SELECT event_type AS list_key, event_id AS id, user_id AS other FROM events
 UNION ALL
-SELECT 'regions', r_regionkey, NULL FROM region
+SELECT 'data.regions', r_regionkey, NULL FROM region
 """)
 def scan_envelope_auto_query(spark, sf_dir):
+    # Two lists a page, the second longer on some pages.
+    tags = F.transform(F.sequence(F.lit(1), F.pmod(F.col("page"), F.lit(3)) * 200 + 1),
+                       lambda i: i.cast("string"))
     events = event_pages(spark, sf_dir).select(
-        F.to_json(F.create_map("resource", F.col("items"))).alias("body")
+        F.col("resource").alias("endpoint"),
+        F.concat(F.lit('{"tags":'), F.to_json(tags), F.lit(',"'), "resource", F.lit('":'),
+                 F.to_json("items"), F.lit("}")).alias("body"),
     )
     regions = (
         table(spark, sf_dir, "region")
         .groupBy(F.floor(F.col("r_regionkey") / PAGE_SIZE).alias("page"))
         .agg(F.collect_list(F.struct("r_regionkey", "r_name")).alias("regions"))
-        .select(F.to_json(F.struct("regions", F.lit("x").alias("next"))).alias("body"))
+        .select(
+            F.lit("regions").alias("endpoint"),
+            F.to_json(F.struct(F.struct("regions").alias("data"), F.lit("x").alias("next"))).alias("body"),
+        )
     )
     empty = table(spark, sf_dir, "nation").select(
+        F.lit("nations").alias("endpoint"),
         F.to_json(
             F.struct("n_nationkey", F.lit(None).cast("string").alias("collections")),
             {"ignoreNullFields": "false"},
         ).alias("body")
     )
-    found = scan_envelope_auto(events.unionByName(regions).unionByName(empty))
+    found = scan_envelope_auto(
+        events.unionByName(regions).unionByName(empty), endpoint=["endpoint"]
+    )
 
     def number(path):
         return F.try_variant_get("record", path, "bigint")
@@ -179,4 +190,7 @@ def scan_projected_query(spark, sf_dir):
 
 @query("table_scan", "SELECT * FROM lineitem")
 def table_scan_query(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem")
+    ensure_database(spark, "shop_scan")
+    spark.sql("DROP TABLE IF EXISTS shop_scan.lineitem")
+    spark.catalog.createTable("shop_scan.lineitem", path=f"{sf_dir}/lineitem.parquet", source="parquet")
+    return table_scan(spark, "shop_scan", "lineitem")

@@ -32,6 +32,29 @@ def merge_upsert_query(spark, sf_dir):
     return merge_upsert(loaded, changed, ["o_orderkey"], cursor="o_orderdate")
 
 
+@query("merge_null_keys", """
+WITH o AS (SELECT nullif(o_orderkey % 50, 0) AS bucket, o_orderkey, o_totalprice, o_orderdate FROM orders)
+SELECT bucket, o_orderkey, o_totalprice, o_orderdate FROM o
+WHERE bucket IS NULL AND o_orderdate >= TIMESTAMP '2000-01-01'
+UNION ALL
+SELECT * FROM (
+  SELECT bucket, o_orderkey, o_totalprice, o_orderdate FROM o
+  WHERE bucket IS NOT NULL AND o_orderdate >= TIMESTAMP '2000-01-01')
+QUALIFY row_number() OVER (PARTITION BY bucket ORDER BY o_orderdate DESC, o_orderkey) = 1
+""")
+def merge_null_keys_query(spark, sf_dir):
+    """A delta with many rows without a key, merged twice over older ones."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.nullif(F.col("o_orderkey") % 50, F.lit(0)).alias("bucket"), "o_orderkey", "o_totalprice",
+        F.struct(F.col("o_orderdate"), (-F.col("o_orderkey")).alias("k")).alias("version"),
+    )
+    new = F.col("version.o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")
+    delta = orders.filter(new)
+    once = merge_upsert(dedup_latest(orders.filter(~new), ["bucket"], "version"), delta, ["bucket"], "version")
+    twice = merge_upsert(once, delta, ["bucket"], "version")
+    return twice.select("bucket", "o_orderkey", "o_totalprice", "version.o_orderdate")
+
+
 @query("merge_upsert_composite", f"""
 WITH delta AS (SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1999-06-01')
 SELECT t.* FROM lineitem t

@@ -34,13 +34,15 @@ def parse_timestamp(value: Column, source_type: T.DataType) -> Column:
 
 def _from_text(value: Column) -> Column:
     # Most text casts directly. The basic form without separators is rewritten first.
-    dashed = F.regexp_replace(value, r"^(\d{4})(\d{2})(\d{2})(?=T|$)", "$1-$2-$3")
+    # Text without a date would be read against today's.
+    dated = F.when(value.rlike(r"^\s*[+-]?\d{4}"), value)
+    dashed = F.regexp_replace(dated, r"^(\d{4})(\d{2})(\d{2})(?=T|$)", "$1-$2-$3")
     spelled = F.regexp_replace(dashed, r"T(\d{2})(\d{2})(\d{2})?", "T$1:$2:$3")
     spelled = F.regexp_replace(spelled, r":(?=$|[Z+-])", "")
     complaint = F.concat(F.lit("not a timestamp: "), value)
     return F.when(value.isNull() | (value == ""), F.lit(None).cast("timestamp")).otherwise(
         F.coalesce(
-            value.try_cast("timestamp"),
+            dated.try_cast("timestamp"),
             spelled.try_cast("timestamp"),
             F.raise_error(complaint).cast("timestamp"),
         )

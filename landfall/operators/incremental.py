@@ -94,8 +94,10 @@ def parent_fanout(
     cursor: str | None = None,
     last: datetime | None = None,
     lookback_seconds: int = 0,
+    missing: str = "raise",
 ) -> DataFrame:
-    """Children of every listed parent, bounded by the child's own cursor.
+    """Children of every listed parent, bounded by the child's own cursor; ``missing`` says
+    what becomes of children without one, on every run alike.
 
     Without a cursor the children are read in full. An empty parent list is an
     error: every child table would look like a source without data.
@@ -105,8 +107,7 @@ def parent_fanout(
     listed = parents.select(F.col(parent_key).alias(foreign_key))
     if cursor is not None:
         since = with_lookback(last, lookback_seconds)
-        if since is not None:
-            children = admit_since(children, cursor, since, "exclude")
+        children = admit_since(children, cursor, since, missing)
     return children.filter(F.col(foreign_key).isNotNull()).join(listed, foreign_key, "left_semi")
 
 
@@ -169,13 +170,12 @@ def advance_watermark(
 
 
 def backfill_window(
-    rows: DataFrame, moment: str, start: datetime, end: datetime
+    rows: DataFrame, moment: str, start: datetime, end: datetime, missing: str = "include"
 ) -> DataFrame:
-    """Rows of the half-open window a backfill asked for."""
-    return rows.filter(
-        (F.col(moment) >= typed_bound(rows, moment, start))
-        & (F.col(moment) < typed_bound(rows, moment, end))
-    )
+    """Rows of the half-open window a backfill asked for, and those without a moment as
+    ``missing`` says: no window will ever ask for them by name."""
+    before = F.col(moment).isNull() | (F.col(moment) < typed_bound(rows, moment, end))
+    return admit_since(rows, moment, start, missing).filter(before)
 
 
 def cursor_state(states: DataFrame) -> DataFrame:

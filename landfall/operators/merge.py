@@ -7,11 +7,12 @@ result. ``landfall.plans.warehouse`` stages and switches it.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from landfall.operators.joins import splittable
+from landfall.operators.joins import join_null_safe
 
 # Table formats whose catalogs apply MERGE INTO row by row.
 ROW_LEVEL_PROVIDERS = ("delta", "hudi", "iceberg", "paimon")
@@ -21,7 +22,8 @@ _UNORDERED = (T.MapType, T.VariantType)
 
 def dedup_latest(rows: DataFrame, keys: Sequence[str], cursor: str | None = None) -> DataFrame:
     """One row per key: the newest by ``cursor``, nulls oldest, all other columns
-    in order breaking ties, so the winner does not depend on the run.
+    in order breaking ties, so the winner does not depend on the run. A row with a null
+    in its key is nobody's double: all of them stay.
 
     The rank filter lets Spark keep one row per key inside every map task before
     it shuffles, so a key that holds much of the table stays small.
@@ -35,11 +37,20 @@ def dedup_latest(rows: DataFrame, keys: Sequence[str], cursor: str | None = None
         and not isinstance(field.dataType, _UNORDERED)
     ]
     newest = Window.partitionBy(*keys).orderBy(*(order or [F.lit(1)]))
-    return (
-        rows.withColumn("_rank", F.row_number().over(newest))
+    keyed = _has_key(keys)
+    winners = (
+        rows.filter(keyed)
+        .withColumn("_rank", F.row_number().over(newest))
         .filter(F.col("_rank") == 1)
         .drop("_rank")
     )
+    if not any(rows.schema[key].nullable for key in keys):
+        return winners
+    return winners.unionByName(rows.filter(~keyed))
+
+
+def _has_key(keys: Sequence[str]) -> Column:
+    return reduce(lambda all_of, one: all_of & one, [F.col(key).isNotNull() for key in keys])
 
 
 def merge_upsert(
@@ -51,18 +62,22 @@ def merge_upsert(
 ) -> DataFrame:
     """The target with the delta's rows replacing it on key; unseen keys stay.
 
-    Columns only one side knows are null on the other. The replaced keys are
-    reduced before they shuffle; whether they are then broadcast is decided from
-    their measured size.
+    Columns only one side knows are null on the other. Null meets null: rows that share a
+    key with a null in it are one group, which the delta's group replaces, so merging
+    twice is merging once. The delta is read and shuffled once; a target's key is unique, so
+    there is no hot one to split.
     """
     if unique_delta:
         latest, replaced = delta, delta.select(*keys)
     else:
         latest = dedup_latest(delta, keys, cursor)
-        replaced = splittable(delta.select(*keys).distinct(), keys)
-    return target.join(replaced, list(keys), "left_anti").unionByName(
-        latest, allowMissingColumns=True
-    )
+        replaced = latest.select(*keys)
+    # Rows without a key are met apart: an equality on keys as they are keeps the layout of
+    # both sides, and a scan for nulls skips every file whose statistics know of none.
+    keyed = _has_key(keys)
+    kept = target.filter(keyed).join(replaced, list(keys), "left_anti").unionByName(
+        join_null_safe(target.filter(~keyed), replaced.filter(~keyed).distinct(), keys, "left_anti"))
+    return kept.unionByName(latest, allowMissingColumns=True)
 
 
 def evolve_add_columns(rows: DataFrame, defaults: Mapping[str, tuple[str, Any]]) -> DataFrame:
@@ -100,7 +115,7 @@ def merge_into(
 
 
 def merge_statement(table: str, view: str, keys: Sequence[str]) -> str:
-    matched = " AND ".join(f"t.`{key}` = s.`{key}`" for key in keys)
+    matched = " AND ".join(f"t.`{key}` <=> s.`{key}`" for key in keys)
     return (
         f"MERGE WITH SCHEMA EVOLUTION INTO {table} t USING {view} s ON {matched} "
         "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"

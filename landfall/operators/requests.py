@@ -15,17 +15,22 @@ UNMATCHED = "unmatched"
 
 
 def routes_of(contract: Contract) -> dict[str, str]:
-    return {resource.route: resource.family for resource in contract.resources}
+    """The family of each route; of resources that share one the first declared says."""
+    routes: dict[str, str] = {}
+    for resource in contract.resources:
+        routes.setdefault(resource.route, resource.family)
+    return routes
 
 
 def request_family(url: Column, routes: Mapping[str, str]) -> Column:
-    """The family of the longest declared route the URL's path contains.
+    """The family of the longest declared route the URL's path contains, of equally long ones
+    the first declared.
 
     Routes are contract metadata, so longest-first is an expression: no join, no
     grouping, one pass inside the scan's own stage.
     """
     path = url_path(url)
-    longest_last = sorted((route for route in routes if route), key=len)
+    longest_last = sorted((route for route in reversed(list(routes)) if route), key=len)
     return reduce(
         lambda shorter, route: F.when(
             F.contains(path, F.lit(route)), F.lit(routes[route])

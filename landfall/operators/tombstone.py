@@ -68,8 +68,8 @@ def soft_delete_eligible(
 ) -> SoftDeletePlan:
     """The tables a run may tombstone, and why the others may not.
 
-    ``complete`` tells, per table, whether its page chain was read to its end;
-    a table whose chain has gaps is never tombstoned.
+    ``complete`` tells, per table, whether its page chain was read to its end; a table whose
+    chain has gaps, or of which nothing is said, is never tombstoned.
     """
     if not requested:
         return SoftDeletePlan((), {})
@@ -82,8 +82,10 @@ def soft_delete_eligible(
             if reason:
                 skipped[resource.name] = reason
                 continue
-        if complete is not None and not complete.get(resource.name, True):
-            skipped[resource.name] = "its page chain has gaps"
+        if not (complete or {}).get(resource.name, False):
+            known = complete is not None and resource.name in complete
+            skipped[resource.name] = (
+                "its page chain has gaps" if known else "nothing says that it was read whole")
             continue
         eligible.append(resource.name)
     return SoftDeletePlan(tuple(eligible), skipped)

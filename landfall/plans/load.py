@@ -21,7 +21,6 @@ from landfall.operators.requests import requests_by_family, routes_of
 from landfall.operators.runlog import (
     RUN_COLUMNS,
     record_run,
-    rows_this_run,
     schema_changes,
     schema_rows,
     table_counts,
@@ -150,6 +149,8 @@ def run_source(
                 landed = list(pool.map(lambda resource: _land(run, resource), together))
             for resource, rows in zip(together, landed):
                 summary["load_ids"].append(run.load_id(resource))
+                # What was staged is what landed: no table is scanned to find it again.
+                summary["rows_this_run"][resource.name] = rows.count()
                 if sample:
                     print(f"{resource.name}, as landed:")
                     sample_landed(rows, landed_key(resource), sample).show(
@@ -169,7 +170,6 @@ def run_source(
             )
         tables = warehouse.read_all(spark, [r.name for r in selected])
         summary["warehouse_counts"] = _as_dict(table_counts(spark, tables))
-        summary["rows_this_run"] = _as_dict(rows_this_run(spark, tables, summary["load_ids"]))
         if publish:
             warehouse.publish(spark, list(tables))
         summary["status"] = "succeeded"
@@ -211,18 +211,30 @@ def _land(run: Run, resource: Resource) -> DataFrame:
         if cursor is None:
             raise ContractError(f"{resource.name}: search_window needs a cursor_field")
         if run.window.mode == "window":
-            rows = I.backfill_window(rows, cursor, run.window.start, run.window.end)
+            rows = I.backfill_window(
+                rows, cursor, run.window.start, run.window.end, resource.cursor_missing or "include"
+            )
         else:
-            rows = I.search_window(rows, cursor, state, resource.lookback_seconds)
+            rows = I.search_window(
+                rows, cursor, state, resource.lookback_seconds, resource.initial_value,
+                resource.cursor_missing or "include",
+            )
+    elif resource.strategy == "full_refresh" and resource.window_field:
+        rows = I.rolling_refetch(
+            rows, snake_case(resource.window_field), run.started_at, resource.window_months
+        )
     elif resource.strategy == "parent_fanout":
         edge = run.edge_to_parent(resource)
+        reached_before = I.effective_cursor(state, resource.initial_value)
+        missing = resource.cursor_missing or "raise"
         if edge is not None:
             rows = I.parent_fanout(
-                rows, run.parent_rows(resource), *edge, cursor, state, resource.lookback_seconds
+                rows, run.parent_rows(resource), *edge, cursor, reached_before,
+                resource.lookback_seconds, missing,
             )
         elif cursor is not None:
-            since = I.with_lookback(state, resource.lookback_seconds)
-            rows = I.admit_since(rows, cursor, since)
+            since = I.with_lookback(reached_before, resource.lookback_seconds)
+            rows = I.admit_since(rows, cursor, since, missing)
     elif resource.strategy == "parent_watermark":
         edge = run.edge_to_parent(resource)
         if edge is None:
@@ -239,11 +251,23 @@ def _land(run: Run, resource: Resource) -> DataFrame:
         reached = staged.agg(F.max(cursor).alias("watermark"))
     if reached is not None:
         newest = reached.select(F.col("watermark").cast("timestamp")).first()[0]
-        if newest is not None and (state is None or newest > state):
+        moves = newest is not None and (state is None or newest > state)
+        if moves and _joins_up(run, resource, state):
             warehouse.save_cursor(spark, resource.name, newest, load_id, run.started_at)
     return staged
 
 
+def _joins_up(run: Run, resource: Resource, state: datetime | None) -> bool:
+    """Whether what this run asked for leaves no gap after what is landed already. A cursor
+    that moved over a gap would never come back for it."""
+    if run.window.mode != "window" or resource.strategy != "search_window":
+        return True
+    floor = state or resource.initial_value
+    if floor is None and run.contract.backfill_start:
+        floor = datetime.fromisoformat(run.contract.backfill_start)
+    return floor is not None and run.window.start.replace(tzinfo=None) <= floor.replace(tzinfo=None)
+
+
 def _as_dict(counts: DataFrame) -> dict[str, int | None]:
     """One entry per table of the contract."""
     return {row[0]: row[1] for row in counts.collect()}

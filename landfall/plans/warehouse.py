@@ -27,7 +27,9 @@ from landfall.operators.tombstone import is_stale, mark_deleted
 from landfall.sources.tables import ensure_database
 
 PRODUCTION = "production"
-LEDGER_SCHEMA = "table_name string, load_id string, disposition string, state string"
+LEDGER_SCHEMA = (
+    "table_name string, load_id string, disposition string, state string, place bigint"
+)
 STATE_SCHEMA = (
     "source string, resource string, destination string, cursor timestamp, "
     "load_id string, saved_at timestamp"
@@ -120,6 +122,8 @@ class Warehouse:
         """Land one load; returns its rows as staged. A load id that is already
         committed lands nothing again."""
         spark = rows.sparkSession
+        # A load that was lost on its way must not be replayed over this one later.
+        self.recover(spark, table)
         delta_path = self._staged(table, load_id, "delta")
         before, committed = self._history(spark, table, load_id)
         if before not in (None, disposition):
@@ -137,7 +141,7 @@ class Warehouse:
         staged = spark.read.parquet(delta_path)
         if disposition == "merge" and not staged.isEmpty():
             self._stage_merge(spark, table, staged, keys, load_id)
-        self._enter(spark, table, load_id, disposition, "prepared")
+        self._prepare(spark, table, load_id, disposition)
         self._switch(spark, table, load_id, disposition)
         return staged.drop(self.bucket)
 
@@ -199,23 +203,37 @@ class Warehouse:
         if columns.schema != known:
             columns.coalesce(1).write.mode("overwrite").parquet(f"{self.base}/_schema/{table}")
 
-    def _enter(self, spark, table, load_id, disposition, state) -> None:
-        entry = [(table, load_id, disposition, state)]
+    def _prepare(self, spark, table, load_id, disposition) -> None:
+        last = self.ledger(spark, table).agg(F.max("place")).first()[0]
+        self._enter(spark, table, load_id, disposition, "prepared", (last or 0) + 1)
+
+    def _enter(self, spark, table, load_id, disposition, state, place=None) -> None:
+        if place is None:       # a later state of a load keeps its place
+            mine = self.ledger(spark, table).filter(F.col("load_id") == load_id)
+            place = mine.agg(F.max("place")).first()[0]
+        entry = [(table, load_id, disposition, state, place)]
         spark.createDataFrame(entry, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(
             f"{self.base}/_ledger/{table}"
         )
 
-    def recover(self, spark: SparkSession) -> list[tuple[str, str]]:
-        """Finish loads that were prepared but not committed. Their ids are not
-        part of the run that finds them."""
-        ledger = self.ledger(spark)
-        found = pending_loads(
-            ledger.filter(F.col("state") == "prepared"),
-            ledger.filter(F.col("state") == "committed"),
-        ).distinct().orderBy("load_id", "table_name").collect()
+    def recover(self, spark: SparkSession, table: str = "*") -> list[tuple[str, str]]:
+        """Finish loads that were prepared but not committed, in the order they were
+        prepared. Their ids are not part of the run that finds them. A load older than
+        its table's last commit is given up: replaying it would undo the newer one."""
+        ledger = self.ledger(spark, table)
+        done = ledger.filter(F.col("state") != "prepared")
+        last = done.filter("state = 'committed'").groupBy("table_name").agg(
+            F.max("place").alias("last"))
+        found = pending_loads(ledger.filter(F.col("state") == "prepared"), done).distinct().join(
+            last, "table_name", "left").orderBy("place", "table_name").collect()
+        finished = []
         for entry in found:
+            if entry.last is not None and entry.place < entry.last:
+                self._enter(spark, entry.table_name, entry.load_id, entry.disposition, "superseded")
+                continue
             self._switch(spark, entry.table_name, entry.load_id, entry.disposition)
-        return [(entry.table_name, entry.load_id) for entry in found]
+            finished.append((entry.table_name, entry.load_id))
+        return finished
 
     # ── tombstones ───────────────────────────────────────────────────────────
 
@@ -233,20 +251,17 @@ class Warehouse:
                 marked[table] = 0
                 continue
             by = self._layout(self._history(spark, table)[0])
-            stale = (
-                rows.filter(is_stale(load_ids)).groupBy(*by)
-                .agg(F.count(F.lit(1)).alias("rows")).filter("rows > 0").collect()
-            )
-            marked[table] = sum(entry.rows for entry in stale)
-            if stale:
+            stale = rows.filter(is_stale(load_ids))
+            marked[table] = stale.count()
+            if marked[table]:
                 held = rows
-                if by:
-                    held = rows.filter(F.col(by[0]).isin([entry[0] for entry in stale]))
+                if by:      # an append table has a folder for each load that ever landed
+                    held = rows.join(stale.select(*by).distinct(), by, "left_semi")
                 load_id = f"{load_ids[-1]}-deleted"
                 self._write_parts(
                     mark_deleted(held, load_ids), self._staged(table, load_id, "result"), by
                 )
-                self._enter(spark, table, load_id, "tombstone", "prepared")
+                self._prepare(spark, table, load_id, "tombstone")
                 self._switch(spark, table, load_id, "tombstone")
         return marked
 

@@ -58,40 +58,58 @@ def scan_envelope(
 
 
 def scan_envelope_auto(
-    pages: DataFrame, keep: Sequence[str] = (), body: str = "body"
+    pages: DataFrame,
+    keep: Sequence[str] = (),
+    body: str = "body",
+    endpoint: Sequence[str] = (),
+    selector: str | None = None,
 ) -> DataFrame:
     """One ``record`` (VARIANT) per element of each envelope's list, and the
-    ``list_key`` it stood under.
-
-    No key is declared, so each envelope is searched on its own: a bare list is
-    the list; otherwise the longest list among its fields is, the first by key of
-    equals. An envelope without a list gives no rows and never lands itself.
+    ``list_key`` it stood under (null for a bare list).
+
+    No key is declared, so it is found once for all pages of an endpoint (the columns
+    ``endpoint``; without any, all pages are of one), however long its lists are on a page:
+    the one list, at the top or one level below, that holds objects on any page; if none
+    does, the one list that holds anything. Several are an error that names
+    them, which ``selector`` settles. Pages without that list give no rows, and an
+    envelope never lands itself.
     """
-    parsed = pages.select(*keep, F.parse_json(body).alias("_envelope"))
-    fields = parsed.select(
-        *keep,
-        F.expr("try_cast(_envelope AS array<variant>)").alias("_bare"),
-        F.expr(
-            "transform(map_entries(try_cast(_envelope AS map<string, variant>)), "
-            "e -> struct(e.key AS key, try_cast(e.value AS array<variant>) AS items))"
-        ).alias("_fields"),
-    )
-    chosen = fields.select(
-        *keep,
-        "_bare",
-        F.expr(
-            "reduce(filter(_fields, f -> f.items IS NOT NULL), "
-            "CAST(NULL AS struct<key: string, items: array<variant>>), "
-            "(best, f) -> CASE WHEN best IS NULL OR size(f.items) > size(best.items) "
-            "OR (size(f.items) = size(best.items) AND f.key < best.key) "
-            "THEN named_struct('key', f.key, 'items', f.items) ELSE best END)"
-        ).alias("_list"),
-    )
-    return chosen.select(
-        *keep,
-        F.col("_list.key").alias("list_key"),
-        F.explode(F.coalesce("_bare", "_list.items")).alias("record"),
-    )
+    kept = list(dict.fromkeys([*keep, *endpoint]))
+    parsed = pages.select(*kept, F.parse_json(body).alias("_envelope"))
+    lists = parsed.select(*kept, F.expr(_LISTS).alias("_lists"))
+    if selector is not None:
+        told = lists.withColumn("_path", F.lit(selector))
+    else:
+        found = lists.select(*endpoint, F.explode("_lists").alias("_l")).groupBy(*endpoint, "_l.key").agg(
+            F.bool_or(F.expr("exists(_l.items, i -> schema_of_variant(i) LIKE 'OBJECT%')")).alias("_objects"),
+            F.bool_or(F.expr("size(_l.items) > 0")).alias("_filled"))
+        paths = found.groupBy(*endpoint).agg(
+            F.array_sort(F.collect_set(F.when(F.col("_objects"), F.col("key")))).alias("_rich"),
+            F.array_sort(F.collect_set(F.when(F.col("_filled"), F.col("key")))).alias("_any"))
+        usable = F.when(F.size("_rich") > 0, F.col("_rich")).otherwise(F.col("_any"))
+        complaint = F.concat(F.lit("records may be any of these lists: "), F.array_join(usable, ", "))
+        path = F.when(F.size(usable) > 1, F.raise_error(complaint).cast("string")).otherwise(
+            F.try_element_at(usable, F.lit(1)))
+        paths = paths.select(*endpoint, path.alias("_path"), F.lit(1).alias("_one"))
+        told = join_null_safe(lists.withColumn("_one", F.lit(1)), paths, [*endpoint, "_one"], "left")
+    items = F.expr("get(filter(_lists, l -> l.key = _path), 0).items")
+    return told.select(*keep, F.nullif(F.col("_path"), F.lit("")).alias("list_key"), F.explode(items).alias("record"))
+
+
+# Every list of an envelope, bare, at the top or one level below, under its path.
+_LISTS = """
+    filter(
+      concat(
+        array(named_struct('key', '', 'items', try_cast(_envelope AS array<variant>))),
+        flatten(transform(
+          coalesce(map_entries(try_cast(_envelope AS map<string, variant>)), array()),
+          e -> concat(
+            array(named_struct('key', e.key, 'items', try_cast(e.value AS array<variant>))),
+            transform(
+              coalesce(map_entries(try_cast(e.value AS map<string, variant>)), array()),
+              f -> named_struct('key', concat(e.key, '.', f.key), 'items', try_cast(f.value AS array<variant>))))))),
+      l -> l.items IS NOT NULL)
+"""
 
 
 def records_as_columns(
@@ -170,9 +188,10 @@ def scan_pages_numbered(
 
 
 def numbered_chain_gaps(
-    pages: DataFrame, chain: Sequence[str], ends: DataFrame, page: str = "page"
+    pages: DataFrame, chain: Sequence[str], ends: DataFrame, page: str = "page", base: int = 1
 ) -> DataFrame:
-    """Chains that were not read whole: pages missing before the end, or no end."""
+    """Chains that were not read whole: pages missing before the end, or no end. The first
+    page of a chain is number ``base``."""
     present = (
         up_to_end(pages, chain, ends, page)
         .groupBy(*chain, "last_page", page)
@@ -181,27 +200,28 @@ def numbered_chain_gaps(
         .agg(F.count("_one").alias("pages_read"))
     )
     return present.filter(
-        F.col("last_page").isNull() | (F.col("pages_read") < F.col("last_page"))
+        F.col("last_page").isNull() | (F.col("pages_read") < F.col("last_page") - base + 1)
     )
 
 
-def page_chain_gaps(pages: DataFrame, resource: str = "resource") -> DataFrame:
-    """What breaks a cursor chain. Pages are rows of ``resource``, ``cursor_in``
-    (null on the first page), ``next`` and ``items`` (their number).
+def page_chain_gaps(pages: DataFrame, chain: Sequence[str] = ("resource",)) -> DataFrame:
+    """What breaks a cursor chain. Pages are rows of the columns ``chain`` (what has tokens of
+    its own: a resource, or a resource and a parent), ``cursor_in`` (null on the first
+    page), ``next`` and ``items`` (their number).
 
     ``dangling_next``: a page with rows names a next page that never landed.
     ``past_end``: a landed page that no page before the end leads to. A next token
     on an empty page is not followed, so it is neither.
     """
     followed = pages.filter((F.col("items") > 0) & (F.coalesce("next", F.lit("")) != "")).select(
-        F.col(resource), F.col("next").alias("token")
+        *chain, F.col("next").alias("token")
     )
     landed = pages.filter(F.col("cursor_in").isNotNull()).select(
-        F.col(resource), F.col("cursor_in").alias("token")
+        *chain, F.col("cursor_in").alias("token")
     )
-    key = [resource, "token"]
-    dangling = followed.distinct().join(landed, key, "left_anti")
-    past = landed.distinct().join(followed, key, "left_anti")
+    key = [*chain, "token"]
+    dangling = join_null_safe(followed.distinct(), landed, key, "left_anti")
+    past = join_null_safe(landed.distinct(), followed, key, "left_anti")
     return dangling.withColumn("problem", F.lit("dangling_next")).unionByName(
         past.withColumn("problem", F.lit("past_end"))
     )

@@ -90,6 +90,7 @@ def desk(spark, tmp_path_factory):
     urls = spark.createDataFrame([("https://x/tags?p=1",), ("https://x/tags",), ("/else",)],
                                  "url string")
     second = run(spark, warehouse, SECOND, "r2", tombstone=True, requests=urls,
+                 complete={"tags": True},
                  context={"dag_id": "hourly"})
     return warehouse, first, cursors, second
 
@@ -178,4 +179,28 @@ def test_a_backfill_bounds_what_it_searches(spark, tmp_path, capsys):
     summary = run(spark, warehouse, FIRST, "b1", resources="deals,notes", window=window, sample=1)
     assert summary["window_ignored_by"] == ["notes"]
     assert "deals, as landed:" in capsys.readouterr().out
-    assert rows(warehouse, spark, "deals", "id") == [("d2",)]
+    # A row without a cursor is in every window: no other run would fetch it.
+    assert rows(warehouse, spark, "deals", "id") == [("d2",), ("d3",)]
+
+
+def test_a_window_and_a_later_run_leave_no_gap(spark, tmp_path):
+    warehouse = Warehouse(str(tmp_path), "desk", buckets=2)
+    deals = [(f"d{i}", ms(24 * i), None) for i in range(1, 29)] + [("d0", None, None)]
+
+    def go(run_id, upto, window):
+        seen = [d for d in deals if d[1] is None or d[1] <= ms(24 * upto)]
+        run(spark, warehouse, {**FIRST, "deals": seen}, run_id, resources="deals", window=window)
+
+    go("r1", 2, run_window(NOW))
+    go("r2", 28, run_window(NOW, start=at(24 * 20), end=at(24 * 21)))
+    assert warehouse.cursor(spark, "deals") == at(48)
+    go("r3", 28, run_window(NOW))
+    assert len(rows(warehouse, spark, "deals", "id")) == 29
+
+
+def test_children_without_a_cursor_are_treated_alike_on_every_run(spark, tmp_path):
+    warehouse = Warehouse(str(tmp_path), "desk", buckets=2)
+    calls = {**FIRST, "calls": [("c1", "d1", ms(1)), ("c9", "d1", None)]}
+    for run_id in ("r1", "r2"):
+        with pytest.raises(Exception, match="a row has no updated_at"):
+            run(spark, warehouse, calls, run_id, resources="deals,calls")

@@ -51,7 +51,15 @@ def test_the_newest_wins_and_ties_break_by_the_other_columns(spark):
     ], "id bigint, v string, at timestamp")
     for shuffled in (rows, rows.orderBy(F.desc("v")), rows.repartition(5)):
         assert bag(dedup_latest(shuffled, ["id"], "at"), "id", "v") == [
-            (1, "a"), (2, "y"), (None, "m")]
+            (1, "a"), (2, "y"), (None, "m"), (None, "n")]
+
+
+def test_merging_twice_is_merging_once_without_keys_too(spark):
+    target = spark.createDataFrame([(1, "a"), (None, "old"), (2, "b")], "id bigint, v string")
+    delta = spark.createDataFrame([(None, "x"), (None, "y"), (2, "B")], "id bigint, v string")
+    once = merge_upsert(target, delta, ["id"])
+    assert bag(once) == bag(merge_upsert(once, delta, ["id"])) == [
+        (1, "a"), (2, "B"), (None, "x"), (None, "y")]
 
 
 def test_merge_adds_columns_from_either_side(spark):

@@ -58,14 +58,22 @@ def test_the_list_is_found_whatever_its_key(spark):
         ("null", 1, {"collections": None}),
         ("text", 1, {"note": "[1]"}),
         ("bare", 1, [{"id": 4}]),
-        ("tie", 1, {"b": [{"id": 6}], "a": [{"id": 5}]}),
+        ("types", 2, {"types": [{"id": 5}], "errors": ["x", "y", "z"]}),
+        ("deep", 1, {"data": {"items": [{"id": 6}]}, "next": "c"}),
         ("empty", 1, {"items": []}),
     )
-    found = scan_envelope_auto(df, keep=["resource"]).select(
+    found = scan_envelope_auto(df, keep=["resource"], endpoint=["resource"]).select(
         "resource", "list_key", F.try_variant_get("record", "$.id", "bigint").alias("id"))
     assert bag(found, "resource", "list_key", "id") == [
-        ("bare", None, 4), ("messages", "messages", 1), ("messages", "messages", 2),
-        ("tie", "a", 5), ("types", "types", 3)]
+        ("bare", None, 4), ("deep", "data.items", 6), ("messages", "messages", 1),
+        ("messages", "messages", 2), ("types", "types", 3), ("types", "types", 5)]
+
+
+def test_a_choice_of_lists_is_an_error_that_a_selector_settles(spark):
+    df = pages(spark, ("tie", 1, {"b": [{"id": 6}], "a": [{"id": 5}]}))
+    with pytest.raises(Exception, match="a, b"):
+        scan_envelope_auto(df).collect()
+    assert bag(scan_envelope_auto(df, selector="b"), "list_key") == [("b",)]
 
 
 def test_found_records_can_be_shaped(spark):
