@@ -60,14 +60,19 @@ class Vocabulary:
         self.names = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
         self.ranks = {tuple(m if isinstance(m, list) else m.split(" ")): r
                       for r, m in enumerate(model["merges"])}
+        # How each token is made: its rank and its two parts. A token has one merge, so
+        # whatever merges it further has a higher rank than it has.
+        self.made = {a + b: (r, a, b) for (a, b), r in self.ranks.items()}
         # The two splitting rules of the file: letters, single digits, runs of the rest.
         split = told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(split.replace(r"\p{L}", rf"[\p{{L}}--[{_unassigned()}]]"), regex.V1)
         self.latin_words = regex.compile(split)     # faster, the same below U+0250
         self.beyond_latin = regex.compile(r"[^\x00-\u024f]")
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self.longest = max(map(len, self.ids))
-        self.letters = byte_letters()
+        self.codes = {t: np.array([i], "<u4").tobytes() for t, i in self.ids.items()}
+        # What a token that goes on may begin with; a word's end is asked for apart.
+        self.opens = {t[:k] for t in (t.removesuffix(END) for t in self.ids) for k in range(1, len(t) + 1)}
+        self.table = dict(enumerate(byte_letters()))
         self.pairs: dict[tuple[str, str], bool] = {}
         self.own: dict[str, bool] = {}
         self.known: dict[str, tuple[bytes, str]] = {}
@@ -111,53 +116,83 @@ class Vocabulary:
         if found is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            found = pair not in self.ranks and self.merged(
-                self.symbols(left) + self.symbols(right)) == [left, right]
-            self.pairs[pair] = found
+            found = self.pairs[pair] = self._stand_together(left, right)
         return found
 
-    def _last(self, path: list[str], text: str, end: str) -> str:
-        """The last token of a text, given the last tokens of its proper prefixes."""
-        size = len(text)
-        for length in range(min(size, self.longest), 0, -1):
-            token = text[size - length:] + end
-            if token in self.ids and self.is_token(token) and (
-                    length == size or self.may_follow(path[size - length], token)):
-                return token
+    def _stand_together(self, left: str, right: str) -> bool:
+        """Whether no merge joins the two on the way to both, going back in time: each step
+        takes apart the one that was made last. Of equal ranks the merge further left goes first."""
+        ranks, base = self.ranks, (-1, "", "")
+        if (left, right) in ranks:
+            return False
+        while True:
+            one, two = self.made.get(left, base), self.made.get(right, base)
+            if one[0] > two[0]:
+                left = one[2]
+                if ranks.get((left, right), one[0]) < one[0]:
+                    return False
+            elif two[0] >= 0:
+                right = two[1]
+                if ranks.get((left, right), two[0] + 1) <= two[0]:
+                    return False
+            else:
+                return True
+
+    def _last(self, path: list[str], text: str, starts: list[int], end: str) -> str:
+        """The last token of a text, given the last tokens of its proper prefixes and where
+        tokens may start."""
+        ids, own, pairs = self.ids, self.own, self.pairs
+        for start in starts:
+            token = text[start:] + end
+            if token in ids and (own.get(token) or self.is_token(token)):
+                if not start:
+                    return token
+                known = pairs.get((path[start], token))
+                if known or known is None and self.may_follow(path[start], token):
+                    return token
         raise ValueError(f"no encoding of {text!r}")
 
     def learn(self, words: set[str]) -> None:
         """Encode distinct words in the trie's depth-first order."""
-        mapped = sorted(("".join(self.letters[b] for b in word.encode()), word) for word in words)
-        path, before = [""], ""         # path[d]: the last token of the first d letters
+        table, codes, opens = self.table, self.codes, self.opens
+        mapped = sorted((word.encode().decode("latin-1").translate(table), word) for word in words)
+        # By depth: the last token of the first letters, and where a token that goes on may start.
+        path, alive, before = [""], [[]], ""
         for text, word in mapped:
-            shared, most = 0, min(len(path) - 1, len(text))
+            size = len(text)
+            shared, most = 0, min(len(path) - 1, size - 1)
             while shared < most and before[shared] == text[shared]:
                 shared += 1
-            del path[shared + 1:]
-            for depth in range(shared + 1, len(text)):
-                path.append(self._last(path, text[:depth], ""))
-            token = self._last(path, text, END)
-            tokens, at = [token], len(text) - (len(token) - len(END))
+            del path[shared + 1:], alive[shared + 1:]
+            for depth in range(shared + 1, size):
+                starts = [s for s in alive[-1] if text[s:depth] in opens]
+                starts.append(depth - 1)
+                alive.append(starts)
+                path.append(self._last(path, text[:depth], starts, ""))
+            token = self._last(path, text, [*alive[-1], size - 1], END)
+            tokens, at = [token], size - (len(token) - len(END))
             while at:
                 tokens.append(path[at])
                 at -= len(path[at])
             tokens.reverse()
-            self.known[word] = (np.array([self.ids[t] for t in tokens], "<u4").tobytes(), " ".join(tokens))
+            self.known[word] = (b"".join([codes[t] for t in tokens]), " ".join(tokens))
             before = text
 
     def split(self, text: str) -> list[str]:
-        """The words of a text; a special token is a word of its own."""
+        """What a text holds between blanks, composed and in lower case; special tokens apart."""
         if "<|" not in text:
-            return self._findall(self.normal(text))
+            return self._chunks(self.normal(text))
         out: list[str] = []
         for k, part in enumerate(self.marks.split(text)):
-            if k % 2:
-                out.append(part)
-            elif part:
-                out += self._findall(self.normal(part))
+            out += [part] if k % 2 else self._chunks(self.normal(part))
         return out
 
+    def _chunks(self, text: str) -> list[str]:
+        # Python takes four more characters for blanks than the vocabulary does.
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return self._findall(text)
+        return text.split()
+
     def _findall(self, text: str) -> list[str]:
         return (self.words if self.beyond_latin.search(text) else self.latin_words).findall(text)
 
@@ -169,6 +204,18 @@ class Vocabulary:
             return text.lower()
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
+    def _know(self, chunks: set[str]) -> None:
+        """Encode chunks that are not known: their words first, each once."""
+        parts = {chunk: self._findall(chunk) for chunk in chunks - self.special.keys()}
+        fresh = set().union(*parts.values()) - self.known.keys()
+        self.learn(fresh)
+        for chunk, words in parts.items():
+            if words != [chunk]:
+                found = [self.known[word] for word in words]
+                self.known[chunk] = (b"".join([i for i, _ in found]), " ".join([t for _, t in found]))
+        for token in chunks & self.special.keys():
+            self.known[token] = (np.array([self.special[token]], "<u4").tobytes(), token)
+
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """The ids (unsigned, 32 bits, little-endian) and the decoded text of each text."""
         split = [self.split(text) for text in texts]
@@ -176,13 +223,10 @@ class Vocabulary:
         if len(self.known) + len(fresh) > WORDS:
             self.known.clear()
             fresh = set().union(*split)
-        special = fresh & self.special.keys()
-        for token in special:
-            self.known[token] = (np.array([self.special[token]], "<u4").tobytes(), token)
-        self.learn(fresh - special)
-        for words in split:
-            found = [self.known[word] for word in words]
-            yield b"".join([ids for ids, _ in found]), " ".join([tokens for _, tokens in found])
+        self._know(fresh)
+        for chunks in split:
+            found = [self.known[chunk] for chunk in chunks]
+            yield b"".join([i for i, _ in found]), " ".join([t for _, t in found if t])
 
     def decode(self, ids: bytes) -> str:
         """The text of ids: tokens as the vocabulary writes them, a space between."""

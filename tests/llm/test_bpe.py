@@ -43,6 +43,18 @@ def test_ids_and_texts_are_the_librarys(spark, library):
     assert {r.doc_id: r.decoded for r in back.collect()}[13] == library.decode(got[13].ids, skip_special_tokens=False)
 
 
+def test_two_tokens_stand_together_if_merging_their_text_gives_them():
+    vocab, rng = bpe.Vocabulary(PATH), random.Random(9)
+    tokens = [t for t in vocab.ids if vocab.merged(vocab.symbols(t)) == [t]]
+    assert len({a + b for a, b in vocab.ranks}) == len(vocab.ranks)
+    inner = [t for t in tokens if not t.endswith(bpe.END)]
+    near = [t for t in inner if len(t) < 4]
+    for k in range(6000):
+        left, right = rng.choice(near if k % 2 else inner), rng.choice(tokens if k % 3 else near)
+        together = vocab.merged(vocab.symbols(left) + vocab.symbols(right)) == [left, right]
+        assert vocab.may_follow(left, right) == together, (left, right)
+
+
 def test_a_full_memory_changes_nothing(monkeypatch, library):
     monkeypatch.setattr(bpe, "WORDS", 50)
     monkeypatch.setattr(bpe, "PAIRS", 20)
