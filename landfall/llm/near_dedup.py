@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from landfall.llm import arrays
 from landfall.llm.common import text_rows, which_text, written
 from landfall.llm.graph import components
+from landfall.operators.joins import splittable
 
 SHINGLE = 5
 THRESHOLD = 75          # per cent: 100 * intersection >= THRESHOLD * union
@@ -313,7 +314,7 @@ def _nodes(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Memberships in nodes of at least two classes: those to compare, those to branch."""
     sizes = members.groupBy("node").agg(
         F.count("*").alias("many"), F.sum("n").alias("shingles")).where("many > 1")
-    told = members.join(sizes, "node").withColumn("parts", F.greatest(
+    told = members.join(splittable(sizes, ["node"]), "node").withColumn("parts", F.greatest(
         F.ceil(F.col("many") / NODE), F.ceil(F.col("shingles") / NODE_SHINGLES)).cast("int"))
     # Two sets are compared however large they are.
     fits = (F.col("parts") == 1) | (F.col("many") == 2)

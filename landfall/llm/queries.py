@@ -16,6 +16,7 @@ from landfall.llm.language_id import language_id
 from landfall.llm.near_dedup import near_dedup
 from landfall.llm.quality_classifier import quality_classifier
 from landfall.llm.quality_rules import fit_quality, quality_rules
+from landfall.llm.sql import NEAR_DEDUP, SUFFIX_DEDUP
 from landfall.llm.suffix_dedup import suffix_dedup
 from landfall.llm.toxicity import toxicity
 from landfall.llm.url_filter import url_filter
@@ -23,7 +24,7 @@ from landfall.llm.url_filter import url_filter
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_suffix_dedup": SUFFIX_DEDUP, "op10_near_dedup": NEAR_DEDUP}
 
 
 def query(build: Query) -> Query:
@@ -44,7 +45,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup(table(spark, sf_dir, "documents"))
+    return suffix_dedup(table(spark, sf_dir, "documents")).drop("_which")
 
 
 @query
@@ -80,4 +81,4 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(table(spark, sf_dir, "documents"))
+    return near_dedup(table(spark, sf_dir, "documents")).drop("_which")

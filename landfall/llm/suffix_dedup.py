@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from landfall.llm import arrays
 from landfall.llm.common import text_rows, which_text, written
+from landfall.operators.joins import splittable
 
 WINDOW = 200
 GRAM = 32
@@ -307,12 +308,12 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     shared = keys.groupBy("key").agg(F.count("*").alias("many")).where("many > 1").select("key")
     segments = rows.mapInArrow(
         _segments(window), "key long, s1 long, s2 long, _id long, which int, start long, shape int")
-    found = written(segments.join(shared, "key", "left_semi"), "segments")
+    found = written(segments.join(splittable(shared, ["key"]), "key", "left_semi"), "segments")
     different = written(found.groupBy("key", "s1", "s2").agg(
         F.count("*").alias("many"), F.min(F.struct("_id", "which", "start", "shape")).alias("first")),
         "different")
     mixed = different.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    wanted = different.join(mixed, "key").select(
+    wanted = different.join(splittable(mixed, ["key"]), "key").select(
         F.col("first._id").alias("_id"), F.col("first.which").alias("which"),
         F.struct("key", "s1", "s2", F.col("first.start").alias("start"),
                  F.col("first.shape").alias("shape")).alias("one"))
@@ -333,7 +334,8 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     # A segment that occurs twice is repeated whole, whatever the sorting says.
     all_of = different.where("many > 1").select("key", "s1", "s2", F.lit(None).cast("array<int>").alias("spans"))
     some = partly.join(all_of.select("key", "s1", "s2"), ["key", "s1", "s2"], "left_anti")
-    return (found.join(all_of.unionAll(some), ["key", "s1", "s2"])
+    repeated = splittable(all_of.unionAll(some), ["key", "s1", "s2"])
+    return (found.join(repeated, ["key", "s1", "s2"])
             .select("_id", "which", "start", F.shiftright("shape", 10).alias("n"), "spans"))
 
 
