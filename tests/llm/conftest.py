@@ -3,6 +3,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from made_texts import words
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -11,10 +12,6 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHES = "which int, _text string, n int, found int, score double, item int, _row int, key int"
 
 
-def words(rng, count, letters="abcdefg"):
-    return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(count))
-
-
 @pytest.fixture(scope="session")
 def odd_rows():
     """Nulls in every column, empty and blank texts, a very long text, ties and repeated rows."""

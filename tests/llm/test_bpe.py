@@ -6,7 +6,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import words
+from made_texts import words
 from tokenizers import Tokenizer
 
 from landfall.llm import bpe

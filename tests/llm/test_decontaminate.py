@@ -2,7 +2,7 @@
 
 import random
 
-from conftest import words
+from made_texts import words
 
 from landfall.llm.decontaminate import build_index, find_passages, indexes, passages, plain
 

@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import words
+from made_texts import words
 from pyspark.sql import functions as F
 
 from landfall.llm import boosting, ordinal

@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import words
+from made_texts import words
 
 from landfall.llm import near_dedup as module
 from landfall.llm.near_dedup import connecting_links, near_dedup, shingle_set

@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import words
+from made_texts import words
 
 from landfall.llm import suffix_dedup as module
 from landfall.llm.suffix_dedup import anchors, remove_repeats, repeated_starts, suffix_dedup
