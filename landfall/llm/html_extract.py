@@ -36,7 +36,7 @@ _VOID = set("area base br col embed hr img input link meta param source track wb
 _FRAME_WORDS = set("""ad ads adsense advert adverts advertisement advertising sponsor sponsored promo promoted
     promotion banner cookie cookies consent gdpr notice notification alert popup overlay modal newsletter subscribe
     subscription signup sidebar menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer masthead
-    comment comments disqus reply replies respond share sharing social related recommended widget toolbar topbar
+    comment comments commentlist commentform commentbox disqus aside notices reply replies respond share sharing social related recommended widget toolbar topbar
     login search complementary contentinfo""".split())
 
 _TAG = re.compile(
