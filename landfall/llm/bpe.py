@@ -25,8 +25,8 @@ from landfall.llm import arrays
 from landfall.llm.common import text_rows, which_text
 
 PIECE = 1 << 20         # bytes of text whose words are sorted together
-WORDS = 400_000         # encoded words a worker keeps
-PAIRS = 1_000_000       # verdicts on pairs a worker keeps
+WORDS = 250_000         # encoded words a task keeps
+PAIRS = 250_000         # verdicts on pairs a worker keeps
 END = "</w>"
 
 
@@ -264,6 +264,7 @@ def _encode(path: str, with_ids: bool):
                 columns.append(pa.array(kept, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        vocab.known.clear()     # the worker lives on, and others need its memory
 
     return run
 

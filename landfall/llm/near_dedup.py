@@ -41,7 +41,7 @@ TREES = 12
 SKETCH = 128            # minwise tokens of 8 bits each
 SURE, POSSIBLE = 90, 74  # agreeing tokens: taken as a leader's, worth confirming
 NODE = 2048             # classes compared exhaustively in one task,
-NODE_SHINGLES = 8_000_000  # and shingles that they may have in all
+NODE_SHINGLES = 2_000_000  # and shingles that they may have in all
 DEPTH = 6
 _HELD = 4_000_000       # shingles of texts that a confirming task keeps
 _MULTIPLIERS = arrays.mix(np.arange(1, SKETCH + 1, dtype=np.uint64)) | np.uint64(1)
