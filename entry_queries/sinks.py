@@ -104,6 +104,24 @@ def write_append_query(spark, sf_dir):
     return spark.read.parquet(folder).drop("_day")
 
 
+@query("evolve_type_conflict", """
+SELECT o_orderkey,
+       CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END AS v,
+       CASE WHEN o_orderkey % 3 = 1 THEN o_totalprice END AS v__v_double,
+       CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS v__v_string
+FROM orders
+""")
+def evolve_type_conflict_query(spark, sf_dir):
+    """A column that arrives as a whole number, then as a fraction, then as text."""
+    warehouse = Warehouse(scratch_folder(spark, "types"), "shop", buckets=8)
+    orders = table(spark, sf_dir, "orders")
+    for load, column in enumerate(("o_custkey", "o_totalprice", "o_orderpriority")):
+        part = orders.filter(F.col("o_orderkey") % 3 == load)
+        warehouse.land("orders", part.select("o_orderkey", F.col(column).alias("v")),
+                       ["o_orderkey"], f"L{load}")
+    return warehouse.read(spark, "orders")
+
+
 @query("evolve_add_columns", """
 SELECT o_orderkey, o_totalprice,
        CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 'error'

@@ -6,6 +6,7 @@ result. ``landfall.plans.warehouse`` stages and switches it.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
@@ -98,6 +99,34 @@ def evolve_add_columns(rows: DataFrame, defaults: Mapping[str, tuple[str, Any]])
     return rows.withColumns({**missing, **filled}) if missing or filled else rows
 
 
+# Types in order of what holds what: a value of one fits each later one of its row.
+_WIDER = ((T.ByteType, T.ShortType, T.IntegerType, T.LongType), (T.FloatType, T.DoubleType))
+
+
+def _fits(new: T.DataType, known: T.DataType) -> bool:
+    if isinstance(new, T.NullType):
+        return True
+    return any(
+        type(new) in row and type(known) in row and row.index(type(new)) <= row.index(type(known))
+        for row in _WIDER
+    )
+
+
+def settle_types(rows: DataFrame, known: T.StructType) -> DataFrame:
+    """``rows`` in the types a table knows. A column keeps its type for good: values of another
+    land in a column of their own, ``<name>__v_<type>``, unless the known type holds them."""
+    out = []
+    for field in rows.schema.fields:
+        column, landed = F.col(f"`{field.name}`"), field.name
+        if field.name in known.names and field.dataType != known[field.name].dataType:
+            if _fits(field.dataType, known[field.name].dataType):
+                column = column.cast(known[field.name].dataType)
+            else:
+                landed += "__v_" + re.sub(r"\W+", "_", field.dataType.simpleString()).strip("_")
+        out.append(column.alias(landed))
+    return rows.select(*out)
+
+
 def supports_merge_into(spark: SparkSession, table: str) -> bool:
     """Whether the table's format takes row-level ``MERGE INTO``; plain files do not."""
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")

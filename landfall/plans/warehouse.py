@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from landfall.operators.incremental import cursor_state, pending_loads
-from landfall.operators.merge import dedup_latest, merge_upsert
+from landfall.operators.merge import dedup_latest, merge_upsert, settle_types
 from landfall.operators.shape import LOAD_ID
 from landfall.operators.tombstone import is_stale, mark_deleted
 from landfall.sources.tables import ensure_database
@@ -134,8 +134,12 @@ class Warehouse:
             delta = rows
         else:
             delta = dedup_latest(rows, keys, cursor)
+        known = self.schema(spark, table)
+        if disposition == "merge":
+            delta = self._keyed_as_before(delta, known, keys)
+        if disposition != "replace" and known is not None:
+            delta = settle_types(delta, known)
         if disposition == "merge":
-            delta = self._keyed_as_before(delta, table, keys)
             delta = delta.withColumn(self.bucket, self._bucket_of(keys))
         delta.write.mode("overwrite").parquet(delta_path)
         staged = spark.read.parquet(delta_path)
@@ -145,10 +149,11 @@ class Warehouse:
         self._switch(spark, table, load_id, disposition)
         return staged.drop(self.bucket)
 
-    def _keyed_as_before(self, rows: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
+    def _keyed_as_before(
+        self, rows: DataFrame, known: T.StructType | None, keys: Sequence[str]
+    ) -> DataFrame:
         """Keys in the types the table knows them by, so that they hash alike. A key
         that does not fit raises."""
-        known = self.schema(rows.sparkSession, table)
         if known is None:
             return rows
         return rows.withColumns({key: F.col(key).cast(known[key].dataType) for key in keys})

@@ -129,3 +129,39 @@ def test_published_tables_can_be_queried(spark, warehouse):
     warehouse.publish(spark, ["t"])
     assert spark.table("raw_probe.t").count() == 3
     spark.sql("DROP DATABASE raw_probe CASCADE")
+
+
+def test_a_column_keeps_its_type_and_another_lands_beside_it(spark, tmp_path):
+    warehouse = Warehouse(str(tmp_path), "s", buckets=2)
+    for load, (kind, value) in enumerate(
+            [("bigint", 1), ("double", 1.5), ("string", "abc"), ("int", 7), ("double", 2.5)]):
+        rows = spark.createDataFrame([(load, value)], f"id bigint, v {kind}")
+        warehouse.land("t", rows, ["id"], f"L{load}")
+    got = {r.id: (r.v, r.v__v_double, r.v__v_string) for r in warehouse.read(spark, "t").collect()}
+    assert got == {0: (1, None, None), 1: (None, 1.5, None), 2: (None, None, "abc"),
+                   3: (7, None, None), 4: (None, 2.5, None)}
+
+
+def test_a_lost_load_is_finished_before_a_newer_one(spark, tmp_path, monkeypatch):
+    warehouse = Warehouse(str(tmp_path), "s", buckets=2)
+
+    def row(value):
+        return spark.createDataFrame([(1, value)], "id bigint, v string")
+
+    warehouse.land("t", row("first"), ["id"], "L1")
+    with monkeypatch.context() as lost:
+        lost.setattr(Warehouse, "_switch", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            warehouse.land("t", row("lost"), ["id"], "L2")
+    warehouse.land("t", row("newest"), ["id"], "L3")
+    assert warehouse.recover(spark) == []
+    assert [r.v for r in warehouse.read(spark, "t").collect()] == ["newest"]
+
+
+def test_a_load_older_than_the_last_commit_is_given_up(spark, tmp_path):
+    warehouse = Warehouse(str(tmp_path), "s", buckets=2)
+    for load in ("L1", "L2"):
+        warehouse.land("t", spark.createDataFrame([(1, load)], "id bigint, v string"), ["id"], load)
+    warehouse._enter(spark, "t", "L0", "merge", "prepared", 1)
+    assert warehouse.recover(spark) == [] and warehouse.recover(spark) == []
+    assert [r.v for r in warehouse.read(spark, "t").collect()] == ["L2"]
