@@ -32,7 +32,7 @@ _BLOCKS = set("""address article aside blockquote body caption center dd details
     figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option
     p pre section summary table tbody td tfoot th thead tr ul""".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-# Words of a class, id or role that name a part of the frame.
+# Classes, ids and roles, or the last words of such, that name a part of the frame.
 _FRAME_WORDS = set("""ad ads adsense advert adverts advertisement advertising sponsor sponsored promo promoted
     promotion banner cookie cookies consent gdpr notice notification alert popup overlay modal newsletter subscribe
     subscription signup sidebar menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer masthead
@@ -45,13 +45,75 @@ _TAG = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+# Words after which a name tells what an element comes with, not what it is.
+_BESIDE = {"has", "no", "with", "without", "not", "non"}
+
+
+def _is_frame_name(token: str) -> bool:
+    """Whether a name, or its last word, is a part of the frame."""
+    if token.lower() in _FRAME_WORDS:
+        return True
+    words = [word.lower() for word in _WORD.findall(token)]
+    return bool(words) and words[-1] in _FRAME_WORDS and _BESIDE.isdisjoint(words)
 
 
 def _names_frame(attributes: str) -> bool:
     if not attributes or "=" not in attributes:
         return False
-    return any(word.lower() in _FRAME_WORDS for _, value in _NAMES.findall(attributes)
-               for word in _WORD.findall(value))
+    return any(_is_frame_name(token) for _, value in _NAMES.findall(attributes)
+               for token in value.strip("\"'").split())
+
+
+def _tags(page: str) -> list[tuple[int, int, bool, str, str]]:
+    """``(start, end, closing, name, attributes)`` of each tag, a raw element with its content as one
+    tag; a comment has no name."""
+    tags = []
+    at = 0
+    for tag in _TAG.finditer(page):
+        if tag.start() < at:
+            continue
+        at = tag.end()
+        closing, name, attributes = (tag[1], tag[2], tag[3]) if tag[2] else (tag[4], tag[5], tag[6])
+        name = (name or "").lower()
+        if name in _RAW and not closing and not attributes.endswith("/"):
+            end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+            at = end.end() if end else len(page)
+        tags.append((tag.start(), at, bool(closing), name, attributes or ""))
+    return tags
+
+
+def _named_frames(tags: list[tuple[int, int, bool, str, str]]) -> set[int]:
+    """Places of the tags whose names open a frame: never an article or main, or what holds one."""
+    named = {i for i, (_, _, closing, name, attributes) in enumerate(tags)
+             if not closing and name and name not in _VOID and name not in _RAW
+             and name not in ("html", "body", "article", "main") and _names_frame(attributes)}
+    if not named:
+        return named
+    held: list[list] = []           # the open elements: place, tag, whether it holds an article or main
+    count: dict[str, int] = {}
+    for i, (_, _, closing, name, _) in enumerate(tags):
+        if not name or name in _VOID or name in _RAW:
+            continue
+        ends = name if closing else "p" if name in _BLOCKS and held and held[-1][1] == "p" else None
+        if not closing and name == "li" and held and held[-1][1] == "li":
+            ends = "li"
+        if ends and count.get(ends):
+            while True:
+                last = held.pop()[1]
+                count[last] -= 1
+                if last == ends:
+                    break
+        if closing:
+            continue
+        if name in ("article", "main"):
+            for element in reversed(held):
+                if element[2]:
+                    break
+                element[2] = True
+                named.discard(element[0])
+        held.append([i, name, False])
+        count[name] = count.get(name, 0) + 1
+    return named
 
 
 def page_lines(page: str) -> list[tuple[str, int]]:
@@ -62,6 +124,7 @@ def page_lines(page: str) -> list[tuple[str, int]]:
     depth = {"article": 0, "main": 0}
     seen_article = seen_main = False
     heading = False                 # inside a heading of an article's own header
+    by_name = False                 # the frame is known by a class, id or role
     at = 0
 
     def flush() -> None:
@@ -72,31 +135,28 @@ def page_lines(page: str) -> list[tuple[str, int]]:
                 inside = (bool(depth["article"]), bool(depth["main"]))
                 lines.append((text, inside, bool(frame) and not heading))
 
-    for tag in _TAG.finditer(page):
-        start = tag.start()
-        if start < at:
-            continue
+    tags = _tags(page)
+    named = _named_frames(tags)
+    for place, (start, end, closing, name, attributes) in enumerate(tags):
         if start > at:
             parts.append(html.unescape(page[at:start]))
-        at = tag.end()
-        closing, name, attributes = (tag[1], tag[2], tag[3]) if tag[2] else (tag[4], tag[5], tag[6])
+        at = end
         if not name:
             continue
-        name = name.lower()
         if name == "br":
             parts.append(" ")
             continue
         if name in _BLOCKS:
             flush()
         if name in _RAW and not closing and not attributes.endswith("/"):
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = end.end() if end else len(page)
             continue
         if name in depth:
             flush()
             depth[name] = max(0, depth[name] + (-1 if closing else 1))
             seen_article |= name == "article"
             seen_main |= name == "main"
+            if by_name and not closing:     # what holds this opens no frame, so it has ended
+                frame, heading, by_name = [], False, False
         if frame:
             if frame[0] == "header" and re.fullmatch("h[1-6]", name) and depth["article"]:
                 heading = not closing
@@ -112,13 +172,13 @@ def page_lines(page: str) -> list[tuple[str, int]]:
             if frame[1] > 0 or closing:
                 if frame[1] <= 0:
                     flush()
-                    frame, heading = [], False
+                    frame, heading, by_name = [], False, False
                 continue
-            frame, heading = [], False
-        if not closing and name not in _VOID and (
-                name in _FRAMES or name == "header" or (name not in ("html", "body") and _names_frame(attributes))):
+            frame, heading, by_name = [], False, False
+        by_tag = name in _FRAMES or name == "header"
+        if not closing and name not in _VOID and (by_tag or place in named):
             flush()
-            frame = [name, 1]
+            frame, by_name = [name, 1], not by_tag
     if at < len(page):
         parts.append(html.unescape(page[at:]))
     flush()

@@ -30,6 +30,24 @@ def test_odd_markup():
     assert text_of("<article " + "x='" * 3000 + ">a</article>") is not None
 
 
+def test_names_of_wrappers_do_not_take_the_article():
+    body = "<p>one</p><section class='social-policy'><p>two</p></section><div class=ad>x</div><p>three</p>"
+    for wrapper in ("<article class='post has-sidebar'>%s</article>", "<article class='sidebar'>%s</article>",
+                    "<main class='content no-sidebar'>%s</main>", "<main id=search><article>%s</article></main>",
+                    "<div id='article-with-comments'><article>%s</article></div>",
+                    "<div class='sidebar'><nav>n</nav><div class='menu'><main>%s</main></div></div>",
+                    "<section><div class='ad'>never closed</section><article>%s</article>",
+                    "<article><div class='layout withSidebar'>%s</div></article>"):
+        assert text_of(wrapper % body) == "one\ntwo\nthree", wrapper
+    for name in ("site-nav", "mainMenu", "cookie-notice", "post comment-list comments", "SIDEBAR", "comment-17"):
+        assert text_of(f"<article><p>one<div class='{name}'><p>x</div><p>two</article>") == "one\ntwo", name
+
+
+def test_wrappers_in_wrappers_take_no_longer_than_their_tags():
+    deep = "<div class=sidebar>" * 50_000 + "<article>a</article>" + "<div class=menu><article>b</article></div>" * 9
+    assert text_of(deep) == "\n".join("a" + "b" * 9)
+
+
 def test_unmarked_pages_lose_what_a_neighbour_shares():
     one = "<body><div>Top of site</div><div><p>Text a</p><p>quote</p></div><div>Copyright</div></body>"
     two = one.replace("Text a", "Text b").replace("<p>quote</p>", "")
