@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.llm import arrays
-from landfall.llm.common import small_batches
+from landfall.llm.common import small_batches, written
 from landfall.llm.url_filter import host_of, path_of
 
 FRAME, OPEN, ARTICLE = 0, 1, 2      # zones: delete, difference, keep
+SLICE_ROWS = 64     # pages of a slice at least, so that few are sent to a second one
 
 # Elements by role in a page.
 _RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "xmp", "noembed", "noframes", "template",
@@ -246,7 +247,7 @@ def _common(a: str, b: str) -> int:
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over pages sorted by host and path: each with the nearer of the pages beside it."""
+    """Over the slices of pages sorted by host and path: each page with the nearer of those beside it."""
     before = now = None
 
     def done(page: dict, after: dict | None) -> tuple:
@@ -263,16 +264,52 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         rows = []
-        heads = zip(*(batch.column(c).to_pylist() for c in ("_id", "url", "host", "path")))
-        for (id_, url, host, path), page in zip(heads, arrays.raw_texts(batch.column("html"))):
+        heads = zip(*(batch.column(c).to_pylist() for c in ("_slice", "_lent", "_id", "url", "host", "path")))
+        for (slice_, lent, id_, url, host, path), page in zip(heads, arrays.raw_texts(batch.column("html"))):
             lines = page_lines(page.decode("utf-8", "replace")) if page else []
-            coming = {"_id": id_, "url": url, "host": host, "path": path, "lines": lines}
-            if now is not None:
-                rows.append(done(now, coming))
-                before = now
-            now = coming
+            coming = {"_slice": slice_, "_lent": lent, "_id": id_, "url": url, "host": host, "path": path,
+                      "lines": lines}
+            same = now is not None and now["_slice"] == slice_
+            if now is not None and not now["_lent"]:
+                rows.append(done(now, coming if same else None))
+            before, now = now if same else None, coming
         yield batch_of(rows)
-    yield batch_of([done(now, None)] if now is not None else [])
+    yield batch_of([done(now, None)] if now is not None and not now["_lent"] else [])
+
+
+_KEYS = ("host", "path", "_url", "_number")
+
+
+def _slices(pages: DataFrame) -> DataFrame:
+    """Every page in its slice of the order by ``_KEYS``, and lent to each slice the page of the same host
+    just before its first and just after its last, so that no pair is cut.
+
+    The ends of the slices, a row for each, are found on the keys alone and written.
+    """
+    most = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(1, min(most, pages.count() // SLICE_ROWS))
+    key = F.struct(*_KEYS)
+    ends = written(pages.select(key.alias("key")).repartitionByRange(slices, "key")
+                   .groupBy(F.spark_partition_id().alias("part"))
+                   .agg(F.min("key").alias("first"), F.max("key").alias("last")), "page-slices")
+    ends = ends.agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("ends"))
+    placed = pages.crossJoin(F.broadcast(ends)).withColumns({
+        "_slice": F.size(F.filter("ends", lambda end: end["first"] <= key)), "_lent": F.lit(False)}).drop("ends")
+    borders = F.transform(
+        F.slice("ends", 2, F.greatest(F.size("ends") - 1, F.lit(0))),
+        lambda end, i: F.struct(F.get("ends", i)["last"].alias("before"), end["first"].alias("after"),
+                                (i + 2).alias("slice")))
+    borders = ends.select(F.inline(borders)).where("before.host = after.host")
+    wanted = borders.select(F.inline(F.array(
+        F.struct(F.col("before").alias("key"), F.col("slice").alias("_slice"), F.lit(True).alias("last")),
+        F.struct(F.col("after").alias("key"), (F.col("slice") - 1).alias("_slice"), F.lit(False).alias("last")),
+    ))).select("key.*", "_slice", "last")
+    # Of pages that tie in all keys the one next to the border.
+    near = F.when(F.col("last"), F.col("_hash")).otherwise(F.bitwise_not("_hash"))
+    lent = (pages.join(F.broadcast(wanted), list(_KEYS)).groupBy("_slice", "last")
+            .agg(F.max_by(F.struct(*pages.columns), near).alias("page"))
+            .select("page.*", "_slice", F.lit(True).alias("_lent")))
+    return placed.unionByName(lent)
 
 
 def html_extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -281,15 +318,16 @@ def html_extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     Returns one row per row of ``df``: the id, ``url``, ``text`` (lines joined by a newline, empty
     if none stays) and ``n_chars`` (its code points). Character references are decoded, blanks
     inside a line are one space. A null page is empty. A null URL has an empty host and path,
-    under which such pages are neighbours. Ties of host and path go by URL, then id. A page at the edge of
-    a sorted slice takes its neighbour from inside the slice; one without a neighbour is
-    not differenced. Repeated rows are pages like any other; an empty table gives no rows.
+    under which such pages are neighbours. Ties of host and path go by URL, then id, then a hash of
+    the page, so pairs do not depend on the partitions; a page alone of its host is not
+    differenced. Repeated rows are pages like any other; an empty table gives no rows.
     """
     small_batches(df.sparkSession)
     pages = df.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).cast("string").alias("url"),
                       F.col(html_col).cast("string").alias("html"))
-    pages = pages.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
-    keys = ["host", "path", "url", "_id"]
-    return (pages.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    pages = pages.withColumns({
+        "host": host_of(F.col("url")), "path": path_of(F.col("url")), "_url": F.coalesce("url", F.lit("")),
+        "_number": F.coalesce("_id", F.lit(-2**63)), "_hash": F.xxhash64("html")})
+    return (_slices(pages).repartitionByRange("_slice").sortWithinPartitions("_slice", *_KEYS, "_hash")
             .mapInArrow(_extract, "_id long, url string, text string, n_chars long")
             .withColumnRenamed("_id", id_col).withColumnRenamed("url", url_col))

@@ -2,6 +2,7 @@
 
 import random
 
+from landfall.llm import html_extract as module
 from landfall.llm.html_extract import html_extract, main_text, page_lines, shared_lines
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1></header>
@@ -89,3 +90,46 @@ def test_neighbours_are_the_nearest_paths_of_the_host(spark):
     assert {i: got[i] for i in (5, 6, 7)} == {5: "X site\nalone", 6: "", 7: ""}
     assert {got[i] for i in (1, 2, 3, 4)} == {"one", "two", "three", "four"}
     assert all(r.n_chars == len(r.text) for r in html_extract(df).collect())
+
+
+def nearest_texts(rows):
+    """By plain Python: each page differenced with the nearer one beside it."""
+    def split(row):
+        return tuple(row[1].split("://")[1].split("/", 1))
+
+    def common(a, b):
+        return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+    rows, out = sorted(rows, key=lambda row: (*split(row), row[1], row[0])), {}
+    for i, row in enumerate(rows):
+        beside = [r for r in rows[max(i - 1, 0):i] + rows[i + 1:i + 2] if split(r)[0] == split(row)[0]]
+        near = max(beside, key=lambda r: common("/" + split(r)[1], "/" + split(row)[1]), default=None)
+        out[row[0]] = text_of(row[2], near and near[2])
+    return out
+
+
+def test_pairs_do_not_depend_on_the_partitions(spark, monkeypatch):
+    monkeypatch.setattr(module, "SLICE_ROWS", 1)
+    rng = random.Random(4)
+    rows = []
+    for i in range(90):
+        host, part = rng.choice(["a.com", "b.com", f"two{i // 9}.com"]), rng.choice("xyz")
+        rows.append((i, f"http://{host}/{part}/{rng.randint(1, 99)}",
+                     f"<body><div>Menu of {host}</div><div>Part {part}</div><p>text {i}</p><div>End</div></body>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    ties = spark.createDataFrame(
+        [(1, "http://t.com/1", f"<p>top</p><p>{i % 3}</p><p>{i}</p>") for i in range(12)] + [(None, None, "<p>n</p>")] * 3,
+        df.schema)
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(name) for name in names]
+    seen = []
+    try:
+        for width, coalesce in ((1, "true"), (5, "false"), (40, "false"), (40, "true")):
+            spark.conf.set(names[0], width)
+            spark.conf.set(names[1], coalesce)
+            assert {r.page_id: r.text for r in html_extract(df).collect()} == nearest_texts(rows), width
+            seen.append(sorted(map(repr, html_extract(df.union(ties)).collect())))
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+    assert len(seen[0]) == 105 and all(one == seen[0] for one in seen)
