@@ -30,10 +30,17 @@ _ZERO = 1 << 30            # keeps diagonals positive
 
 def plain(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Code points in lower case with each run of blanks as one space, none at the ends,
-    and the place of each in the text."""
+    and the place of each in the text. A character whose lower case is not one code point stays as it is."""
     low = text.lower()
-    low = low if len(low) == len(text) else text
-    points = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)
+    if len(low) == len(text):
+        points = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)
+    else:
+        odd = [ord(c) for c in set(text) if len(c.lower()) != 1]
+        # A letter stands in for them, so that the others are folded as they are beside letters.
+        low = text.translate(dict.fromkeys(odd, "I")).lower()
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        points = np.where(np.isin(points, odd), points,
+                          np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32))
     blank = (points == 32) | ((points >= 9) & (points <= 13)) | (points == 160)
     keep = ~blank
     keep[1:] |= blank[1:] & ~blank[:-1]

@@ -65,3 +65,17 @@ def test_a_long_text_is_searched_to_its_end(monkeypatch):
     for before in (0, 60, 85, 90, 200):
         text = words(rng, before) + " " + item + " " + words(rng, 30)
         assert [p[3] for p in passages(plain(text)[0], index, 8)] == [0]
+
+
+def test_a_letter_without_a_lower_case_of_one_leaves_the_others_folded(spark):
+    rng = random.Random(9)
+    item = words(rng, 25)
+    near = item.replace(item[40], "\u00e9", 1).upper()
+    docs = [(i, words(rng, 30) + " \u0130stanbul \u039f\u0394\u039f\u03a3 " + passage + " " + words(rng, 9))
+            for i, passage in enumerate((item.upper(), item.title(), near, item))]
+    assert "".join(map(chr, plain("A\u0130B \u039f\u03a3  C")[0])) == "a\u0130b \u03bf\u03c2 c"
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = {r.doc_id: r for r in find_passages(rows, benchmark).collect()}
+    assert {i: r.edits for i, r in found.items()} == {0: 0, 1: 0, 2: 1, 3: 0}
+    assert all(docs[i][1][r.start:r.end].lower() == item for i, r in found.items() if i != 2)
