@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.llm import boosting
+from landfall.llm.common import written
+from landfall.operators.joins import splittable
 
-TRAIN_ROWS = 20_000     # labelled URLs fitted on, those of the least hash
-SUFFIXES = 200          # host endings with a statistic of their own, the most frequent
+TRAIN_ROWS = 20_000     # distinct labelled URLs fitted on, those of the least hash
 TREES, TREE_DEPTH = 24, 3
 
 
@@ -111,42 +112,44 @@ def features(url: Column, host: Column, path: Column) -> dict[str, Column]:
 class UrlModel(NamedTuple):
     trees: boosting.Trees
     names: list[str]
-    suffixes: dict[str, tuple[float, float]]    # share blocked, log of frequency
-    unseen: tuple[float, float]
-
-
-def _with_suffix(values: dict[str, Column], host: Column, model: UrlModel | None = None,
-                 known: dict[str, tuple[float, float]] | None = None,
-                 unseen: tuple[float, float] = (0.5, 0.0)) -> dict[str, Column]:
-    known, unseen = (model.suffixes, model.unseen) if model else (known or {}, unseen)
-    out = dict(values)
-    for k, name in enumerate(("suffix_blocked", "suffix_count")):
-        pairs = [x for suffix, stat in sorted(known.items()) for x in (F.lit(suffix), F.lit(stat[k]))]
-        seen = F.element_at(F.create_map(*pairs), suffix_of(host)) if pairs else F.lit(None)
-        out[name] = F.coalesce(seen, F.lit(unseen[k])).cast("double")
-    return out
+    share: float            # blocked of all labelled rows
 
 
-def fit_urls(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> UrlModel | None:
-    """Fit to rows ``(url, host, path, blocked)``, at most ``train_rows`` of them."""
-    values = features(F.col("url"), F.col("host"), F.col("path"))
-    sample = (labelled.orderBy(F.xxhash64("url"), "url").limit(train_rows)
-              .select(suffix_of(F.col("host")).alias("suffix"), F.col("blocked").cast("int").alias("blocked"),
-                      F.array(*values.values()).alias("x")).collect())
-    target = np.array([row.blocked for row in sample], float)
-    if len(np.unique(target)) < 2:
-        return None
-    share, count = target.mean(), {}
-    for row in sample:
-        n, bad = count.get(row.suffix, (0, 0))
-        count[row.suffix] = n + 1, bad + row.blocked
-    often = sorted(count, key=lambda s: (-count[s][0], s))[:SUFFIXES]
+def suffix_counts(labelled: DataFrame) -> DataFrame:
+    """Rows and blocked rows of each suffix, over all labelled rows."""
+    return written(labelled.groupBy(suffix_of(F.col("host")).alias("suffix"))
+                   .agg(F.count("*").alias("n"), F.sum(F.col("blocked").cast("long")).alias("bad")), "url-suffixes")
+
+
+def _suffix_values(share: float) -> dict[str, Column]:
+    """A suffix's statistics from its counts; null counts are those of one that no rule decides."""
+    n, bad = (F.coalesce(name, F.lit(0)) for name in ("n", "bad"))
     # Smoothed by ten rows of the overall share, so that rare suffixes say little.
-    known = {s: ((count[s][1] + 10 * share) / (count[s][0] + 10), float(np.log1p(count[s][0]))) for s in often}
-    unseen = (float(share), 0.0)
-    rows = np.array([[*row.x, *known.get(row.suffix, unseen)] for row in sample], float)
+    return {"suffix_blocked": (bad + F.lit(10 * share)) / (n + 10), "suffix_count": F.log1p(n.cast("double"))}
+
+
+def fit_urls(labelled: DataFrame, counts: DataFrame, train_rows: int = TRAIN_ROWS) -> UrlModel | None:
+    """Fit to rows ``(url, host, path, blocked)``, at most ``train_rows`` distinct URLs of them."""
+    total, blocked = counts.agg(F.sum("n"), F.sum("bad")).first()
+    if not total or blocked in (0, total):
+        return None
+    values = features(F.col("url"), F.col("host"), F.col("path")) | _suffix_values(blocked / total)
+    urls = labelled.groupBy("url", "host", "path", "blocked").agg(F.lit(1).alias("once"))
+
+    def draw(rows: DataFrame, most: int) -> list:
+        least = rows.orderBy(F.xxhash64("url"), "url").limit(most).withColumn("suffix", suffix_of(F.col("host")))
+        return least.join(counts, "suffix", "left").select(
+            F.xxhash64("url").alias("hash"), "url", F.col("blocked").cast("int").alias("blocked"),
+            F.array(*values.values()).alias("x")).collect()
+
+    sample = draw(urls, train_rows)
+    if len(seen := {row.blocked for row in sample}) < 2:     # the other verdict is too rare to be drawn
+        rare = draw(urls.where(F.col("blocked") != bool(seen.pop())), max(1, train_rows // 10))
+        sample = sorted(sample, key=lambda row: (row.hash, row.url))[:max(1, train_rows - len(rare))] + rare
+    sample.sort(key=lambda row: (row.hash, row.url))
+    rows, target = np.array([row.x for row in sample], float), np.array([row.blocked for row in sample], float)
     trees = boosting.fit(rows, target, monotone=np.zeros(rows.shape[1], int), trees=TREES, depth=TREE_DEPTH)
-    return UrlModel(trees, [*values, "suffix_blocked", "suffix_count"], known, unseen)
+    return UrlModel(trees, list(values), blocked / total)
 
 
 def tree_score(trees: boosting.Trees, columns: Sequence[Column]) -> Column:
@@ -175,19 +178,25 @@ def url_filter(df: DataFrame, id_col: str = "page_id", url_col: str = "url", *,
     the rule, else null), ``verdict`` and ``score`` (the trees' chance of ``block``; null if there
     is nothing to learn from, and then what no rule decides is allowed). A null URL and one without ``://``
     has an empty host and path, fits no rule and is judged by its features. Repeated URLs are
-    judged alike and each counts in the sample; an empty table gives no rows.
+    judged alike, count once in the sample and each in the statistics of their host's suffix, which cover
+    all rows that a rule decides; an empty table gives no rows.
     """
     told = df.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("url"))
     told = told.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     told = told.withColumn("found", rule_of(rules, F.col("host"), F.col("path")))
-    model = fit_urls(told.where("found is not null").select(
-        "url", "host", "path", (F.col("found.verdict") == "block").alias("blocked")), train_rows)
+    labelled = told.where("found is not null").select(
+        "url", "host", "path", (F.col("found.verdict") == "block").alias("blocked"))
+    counts = suffix_counts(labelled)
+    model = fit_urls(labelled, counts, train_rows)
     if model is None:
         chance = F.lit(None).cast("double")
         scored = told
     else:
-        values = _with_suffix(features(F.col("url"), F.col("host"), F.col("path")), F.col("host"), model)
-        scored = told.withColumns({f"x_{k}": v for k, v in values.items()})
+        values = features(F.col("url"), F.col("host"), F.col("path")) | _suffix_values(model.share)
+        # A suffix may hold most rows: both sides are shuffled plainly, so Spark can split it.
+        met = told.withColumn("suffix", suffix_of(F.col("host"))).join(
+            splittable(counts, ["suffix"]), "suffix", "left")
+        scored = met.withColumns({f"x_{k}": v for k, v in values.items()})
         margin = tree_score(model.trees, [F.col(f"x_{k}") for k in model.names])
         chance = 1 / (1 + F.exp(-margin))
     judged = F.when(F.coalesce(F.col("score"), F.lit(0.0)) >= 0.5, "block").otherwise("allow")

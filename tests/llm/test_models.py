@@ -14,7 +14,8 @@ from landfall.llm.language_id import language_id, subword_counts
 from landfall.llm.quality_classifier import quality_classifier
 from landfall.llm.quality_rules import STATISTICS, counts_and_statistics, fit_quality, quality_rules
 from landfall.llm.toxicity import toxicity
-from landfall.llm.url_filter import RULES, UrlModel, features, tree_score, url_filter
+from landfall.llm.url_filter import (
+    RULES, UrlModel, features, host_of, path_of, suffix_counts, tree_score, url_filter)
 
 LETTERS = {"aa": "aeioulmn", "bb": "xyzkrtua", "cc": "éèàosdfg"}
 
@@ -183,3 +184,30 @@ def test_url_features_and_learning(spark):
     share = np.array([2, 1, 1, 1, 1, 1, 1, 1, 1]) / 10
     assert row.entropy == pytest.approx(-(share * np.log2(share)).sum())
     assert UrlModel._fields[0] == "trees"
+
+
+def test_suffixes_are_counted_over_all_rows_and_samples_drawn_from_distinct_urls(spark):
+    # More suffixes than a small sample holds: what is blocked shows in the suffix alone.
+    urls = [f"http://{kind}.s{i}.com/{path}/{j}" for i in range(300) for j in range(9)
+            for kind, path in [("a", "fr") if i % 2 else ("b", "de")]]
+    open_ = [f"http://{'ab'[i % 2 == 0]}.s{i}.com/xx/1" for i in range(300)]
+    # A URL with more rows than the sample has places.
+    urls += ["http://hot.com/fr/0"] * 3000
+    df = spark.createDataFrame(list(enumerate(urls + open_)), "page_id long, url string")
+    labelled = df.select("url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
+                         F.col("url").contains("/de/").alias("blocked")).where("path not like '/xx/%'")
+    counts = {r.suffix: (r.n, r.bad) for r in suffix_counts(labelled).collect()}
+    assert counts == {f"s{i}.com": (9, 9 * (i % 2 == 0)) for i in range(300)} | {"hot.com": (3000, 0)}
+    got = {r.page_id: r for r in url_filter(df, train_rows=200).collect()}
+    assert len(got) == len(urls) + 300
+    verdicts = [got[len(urls) + i].verdict for i in range(300)]
+    assert verdicts == [("block", "allow")[i % 2] for i in range(300)]
+
+
+@pytest.mark.parametrize("hot", [range(8), ()])
+def test_a_verdict_is_learned_though_the_sample_misses_it(spark, hot):
+    urls = [f"http://h{i}.com/fr/{'' if i in hot else i}" for i in range(400)] + ["http://bad.com/de/1?a=1&b=2&c=3"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    assert all(r.score is not None for r in url_filter(df, train_rows=5).collect())
+    same = spark.createDataFrame(list(enumerate(urls[:-1])), "page_id long, url string")
+    assert all(r.score is None and r.verdict == "allow" for r in url_filter(same, train_rows=5).collect())
