@@ -14,6 +14,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from landfall.operators.joins import join_null_safe
+from landfall.operators.shape import LOAD_ID
 
 # Table formats whose catalogs apply MERGE INTO row by row.
 ROW_LEVEL_PROVIDERS = ("delta", "hudi", "iceberg", "paimon")
@@ -60,12 +61,15 @@ def merge_upsert(
     keys: Sequence[str],
     cursor: str | None = None,
     unique_delta: bool = False,
+    load_id: str | None = None,
 ) -> DataFrame:
     """The target with the delta's rows replacing it on key; unseen keys stay.
 
     Columns only one side knows are null on the other. Null meets null: rows that share a
     key with a null in it are one group, which the delta's group replaces, so merging
-    twice is merging once. The delta is read and shuffled once; a target's key is unique, so
+    twice is merging once. Given the delta's ``load_id``, rows without a key are records of
+    their loads instead: the delta replaces those of its own load, as ``_load_id`` tells, and
+    all of other loads stay. The delta is read and shuffled once; a target's key is unique, so
     there is no hot one to split.
     """
     if unique_delta:
@@ -76,8 +80,12 @@ def merge_upsert(
     # Rows without a key are met apart: an equality on keys as they are keeps the layout of
     # both sides, and a scan for nulls skips every file whose statistics know of none.
     keyed = _has_key(keys)
-    kept = target.filter(keyed).join(replaced, list(keys), "left_anti").unionByName(
-        join_null_safe(target.filter(~keyed), replaced.filter(~keyed).distinct(), keys, "left_anti"))
+    keyless = target.filter(~keyed)
+    if load_id is None:
+        keyless = join_null_safe(keyless, replaced.filter(~keyed).distinct(), keys, "left_anti")
+    elif LOAD_ID in target.columns:
+        keyless = keyless.filter(~F.col(LOAD_ID).eqNullSafe(load_id))
+    kept = target.filter(keyed).join(replaced, list(keys), "left_anti").unionByName(keyless)
     return kept.unionByName(latest, allowMissingColumns=True)
 
 

@@ -172,7 +172,8 @@ class Warehouse:
         if target is not None:
             touched = target.filter(F.col(self.bucket).isin(self._touched(staged)))
             merged = merge_upsert(
-                touched.repartition(self.buckets, *keys), delta, keys, unique_delta=True
+                touched.repartition(self.buckets, *keys), delta, keys, unique_delta=True,
+                load_id=load_id,
             )
         self._write_parts(merged, self._staged(table, load_id, "result"), [self.bucket])
 

@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 
+from landfall.operators.merge import merge_upsert
 from landfall.operators.shape import LOAD_ID
 from landfall.plans.warehouse import Warehouse
 
@@ -165,3 +166,21 @@ def test_a_load_older_than_the_last_commit_is_given_up(spark, tmp_path):
     warehouse._enter(spark, "t", "L0", "merge", "prepared", 1)
     assert warehouse.recover(spark) == [] and warehouse.recover(spark) == []
     assert [r.v for r in warehouse.read(spark, "t").collect()] == ["L2"]
+
+
+def test_rows_without_a_key_outlive_other_loads(spark, warehouse):
+    warehouse.land("t", load(spark, [(None, str(i)) for i in range(100)] + [(1, "a")], "L1"), ["id"], "L1")
+    warehouse.land("t", load(spark, [(None, "new"), (None, "7"), (1, "A")], "L2"), ["id"], "L2")
+    warehouse.land("t", load(spark, [(None, "new")], "L2"), ["id"], "L2")
+    landed = warehouse.read(spark, "t").select("id", "v", LOAD_ID).collect()
+    assert sorted((r.v, r[LOAD_ID]) for r in landed if r.id is None) == sorted(
+        [(str(i), "L1") for i in range(100)] + [("new", "L2"), ("7", "L2")])
+    assert [(r.v, r[LOAD_ID]) for r in landed if r.id == 1] == [("A", "L2")]
+
+
+def test_a_load_merged_again_replaces_its_own_rows_without_a_key(spark):
+    target = load(spark, [(None, "a"), (None, "b"), (2, "c")], "L1")
+    delta = load(spark, [(None, "x"), (None, "x"), (2, "C")], "L2")
+    once = merge_upsert(target, delta, ["id"], load_id="L2")
+    for merged in (once, merge_upsert(once, delta, ["id"], load_id="L2")):
+        assert sorted(r.v for r in merged.collect()) == ["C", "a", "b", "x", "x"]
