@@ -53,3 +53,46 @@ FROM h JOIN kept USING (doc_id) LEFT JOIN (
   SELECT doc_id, CAST(sum(e - s) AS BIGINT) AS n_removed, count(*) AS n_spans FROM r GROUP BY doc_id
 ) USING (doc_id)
 """
+
+COLLOCATIONS = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+f1 AS (SELECT lang, x, count(*) AS a FROM (SELECT lang, unnest(ws) AS x FROM w) GROUP BY ALL),
+f2 AS (
+  SELECT lang, x, y, count(*) AS a
+  FROM (SELECT lang, ws[i] AS x, ws[i + 1] AS y FROM (SELECT lang, ws, unnest(range(1, len(ws))) AS i FROM w))
+  GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (
+  SELECT lang, x, y, z, count(*) AS a
+  FROM (SELECT lang, ws[i] AS x, ws[i + 1] AS y, ws[i + 2] AS z
+        FROM (SELECT lang, ws, unnest(range(1, len(ws) - 1)) AS i FROM w))
+  GROUP BY ALL HAVING count(*) >= 10),
+longer AS (
+  SELECT lang, x, y, max(a) AS longer
+  FROM (SELECT lang, x, y, a FROM f3 UNION ALL SELECT lang, y, z, a FROM f3) GROUP BY ALL),
+cuts AS (
+  SELECT lang, x || ' ' || y AS phrase, f2.a, l.a AS l, r.a AS r, 1 AS k
+  FROM f2 JOIN f1 l USING (lang, x) JOIN f1 r ON r.lang = f2.lang AND r.x = f2.y
+  LEFT JOIN longer USING (lang, x, y)
+  WHERE longer IS NULL OR 100 * longer < 50 * f2.a
+  UNION ALL
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, f3.a, l.a, r.a, 1
+  FROM f3 JOIN f1 l USING (lang, x) JOIN f2 r ON r.lang = f3.lang AND r.x = f3.y AND r.y = f3.z
+  UNION ALL
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, f3.a, l.a, r.a, 2
+  FROM f3 JOIN f2 l USING (lang, x, y) JOIN f1 r ON r.lang = f3.lang AND r.x = f3.z),
+scored AS (
+  SELECT *, CAST(1000000::HUGEINT * a::HUGEINT * a::HUGEINT // (l::HUGEINT * r::HUGEINT) AS BIGINT) AS score
+  FROM cuts),
+least AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM least)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM ranked JOIN (SELECT lang, sum(a) AS n FROM f1 GROUP BY lang) USING (lang) WHERE rank <= 2000
+"""
