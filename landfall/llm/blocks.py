@@ -13,13 +13,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from landfall.llm.arrays import LOWER
+from landfall.llm.arrays import LOWER, word_hashes
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+HASHED_AT_ONCE = 1 << 17
 WORD, BLANK, BREAK = 0, 1, 2
 
 
@@ -82,29 +83,48 @@ def gathered(
     yield from held.items()
 
 
-def entries(blocks: DataFrame, *kept: str) -> DataFrame:
-    """A row per block and item of its list: ``(block, code, word, n)`` and the columns kept."""
-    return blocks.select(
-        "block", *kept, F.posexplode(F.arrays_zip("words", "counts")).alias("code", "e")
-    ).select("block", *kept, "code", F.col("e.words").alias("word"), F.col("e.counts").alias("n"))
-
-
-def counts_of(codes: np.ndarray, size: int) -> pa.Array:
-    return pa.array(np.bincount(codes, minlength=size).astype(np.int64))
-
-
-def list_row(values: pa.Array) -> pa.Array:
-    """One list that holds all the values: a column of one row."""
-    values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
-    if pa.types.is_large_string(values.type):
-        values = pc.cast(values, pa.string())
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-
-
-def packed(codes: np.ndarray) -> pa.Array:
-    """Numbers as one binary value: a column of one row."""
-    return pa.array([np.ascontiguousarray(codes, np.int32).tobytes()], pa.binary())
-
-
-def unpacked(value: pa.Scalar) -> np.ndarray:
-    return np.frombuffer(value.as_buffer(), np.int32)
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    """Whole numbers as compressed planes of their bytes: small ones cost little."""
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), numbers.dtype.itemsize).T
+    return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unpack_numbers(value: bytes, kind: type = np.int32) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(value), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def pack_words(words: pa.Array) -> bytes:
+    """Distinct words, none of which holds a line feed, as one compressed value."""
+    lines = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()),
+                                                    pc.cast(words, pa.string())), "\n")[0].as_py()
+    return zstandard.ZstdCompressor(1).compress(f"{lines}\n".encode() if len(words) else b"")
+
+
+def unpack_words(value: bytes) -> tuple[np.ndarray, pa.Array]:
+    """The bytes of the words, end to end, and the words over them."""
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(value), np.uint8)
+    breaks = np.flatnonzero(raw == 10)
+    offsets = np.zeros(len(breaks) + 1, np.int32)
+    offsets[1:] = breaks - np.arange(len(breaks))
+    letters = raw[raw != 10]
+    return letters, pa.Array.from_buffers(
+        pa.string(), len(breaks), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+
+
+def text_hashes(letters: np.ndarray, words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word or phrase, of its bytes alone."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[:len(words) + 1]
+    out = np.zeros(len(words), np.uint64)
+    start = 0
+    while start < len(words):
+        stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + HASHED_AT_ONCE, "right")) - 1)
+        low, high = offsets[start], offsets[stop]
+        if high - low > HASHED_AT_ONCE:  # one very long word
+            out[start] = xxhash.xxh64_intdigest(letters[low:high].tobytes())
+        else:
+            spans = offsets[start:stop + 1] - low
+            out[start:stop] = word_hashes(letters[low:high], spans[:-1], spans[1:])
+        start = stop
+    return out

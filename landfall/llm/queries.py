@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.llm import bpe
+from landfall.llm.centroids import centroid_clusters
 from landfall.llm.collocations import collocations
 from landfall.llm.common import table
 from landfall.llm.decontaminate import find_passages
@@ -17,7 +18,7 @@ from landfall.llm.language_id import language_id
 from landfall.llm.near_dedup import near_dedup
 from landfall.llm.quality_classifier import quality_classifier
 from landfall.llm.quality_rules import fit_quality, quality_rules
-from landfall.llm.sql import COLLOCATIONS, NEAR_DEDUP, SUFFIX_DEDUP
+from landfall.llm.sql import CLUSTERS, COLLOCATIONS, NEAR_DEDUP, SUFFIX_DEDUP
 from landfall.llm.suffix_dedup import suffix_dedup
 from landfall.llm.toxicity import toxicity
 from landfall.llm.url_filter import url_filter
@@ -26,7 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {"op3_suffix_dedup": SUFFIX_DEDUP, "op10_near_dedup": NEAR_DEDUP,
-                           "op13_collocations": COLLOCATIONS}
+                           "op12_centroid_clusters": CLUSTERS, "op13_collocations": COLLOCATIONS}
 
 
 def query(build: Query) -> Query:
@@ -86,6 +87,11 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents")).drop("_which")
 
 
+@query
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))

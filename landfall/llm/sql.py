@@ -96,3 +96,41 @@ ranked AS (
 SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
 FROM ranked JOIN (SELECT lang, sum(a) AS n FROM f1 GROUP BY lang) USING (lang) WHERE rank <= 2000
 """
+
+
+def _clusters(rounds: int = 3) -> str:
+    """K-means by plain measuring: each round a common table expression of the one before."""
+    parts = [r"""
+v AS (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * x::DOUBLE) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE len(embedding) = 64 AND list_aggregate(list_transform(embedding, lambda x: coalesce(isfinite(x), false)), 'bool_and')),
+e AS MATERIALIZED (SELECT row, unnest(range(64)) AS d, unnest(x) AS x FROM v),
+s AS (SELECT vec_id, x, sha256('1:' || vec_id) AS h FROM v ORDER BY h, x LIMIT 16),
+c0 AS MATERIALIZED (
+  SELECT c, unnest(range(64)) AS d, unnest(x) AS x FROM (SELECT x, row_number() OVER (ORDER BY h, x) - 1 AS c FROM s))"""]
+    for i in range(rounds + 1):
+        parts.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT row, min(struct_pack(distance, c)) AS best FROM (
+    SELECT e.row, c.c, CAST(sum((e.x - c.x) * (e.x - c.x)) AS BIGINT) AS distance
+    FROM e JOIN c{i} c USING (d) GROUP BY ALL)
+  GROUP BY row)""")
+        if i < rounds:
+            parts.append(f"""
+c{i + 1} AS MATERIALIZED (
+  SELECT c, d, CASE WHEN n IS NULL THEN x ELSE (t - ((t % n) + n) % n) // n END AS x
+  FROM c{i} LEFT JOIN (
+    SELECT best.c AS c, d, CAST(sum(x) AS BIGINT) AS t, count(*) AS n FROM e JOIN a{i} USING (row) GROUP BY ALL)
+  USING (c, d))""")
+    return f"""
+WITH {",".join(parts)},
+g AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY d)) AS g FROM c{rounds} GROUP BY c)
+SELECT vec_id, CAST(best.c AS INTEGER) AS cluster, best.distance AS distance,
+       CAST(sum(best.distance) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best.distance) OVER () AS BIGINT) AS inertia, g AS centroid_sha256
+FROM a{rounds} JOIN v USING (row) JOIN g ON g.c = best.c
+"""
+
+
+CLUSTERS = _clusters()
