@@ -38,6 +38,7 @@ RELATION = "block bigint, lang string, codes binary, words binary, places bigint
 NONE = -1            # between pieces, and where no group that may be frequent starts
 HASH_BITS = 48
 RANGE_GROUPS = 1 << 21   # what one range of hashes is to hold
+SHARES = 32              # a language's candidates are ranked in so many shares first
 
 
 def _row(block: int, lang: str, codes: np.ndarray, words: pa.Array) -> pa.RecordBatch:
@@ -240,8 +241,13 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         around = around.groupBy("lang", "word").agg(F.max("longer").alias("longer"))
         candidates = candidates.join(around, ["lang", "word"], "left").where(
             F.col("longer").isNull() | (100 * _whole("longer") < inside * _whole("a")))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "word")
-    ranked = candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # A language may hold most phrases: the first of each share of it, then the first of those.
+    order = (F.desc("score"), F.desc("a"), F.col("word"))
+    candidates = candidates.withColumn("_share", F.pmod(F.xxhash64("word"), F.lit(SHARES)))
+    for within in (["lang", "_share"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*within).orderBy(*order))
+        candidates = candidates.withColumn("rank", rank).where(F.col("rank") <= top)
+    ranked = candidates
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), F.col("word").alias("phrase"),
         "a", "l", "r", "n", "score")

@@ -15,6 +15,7 @@ from landfall.llm.common import table
 from landfall.llm.decontaminate import find_passages
 from landfall.llm.html_extract import html_extract
 from landfall.llm.language_id import language_id
+from landfall.llm.lm_score import lm_score
 from landfall.llm.near_dedup import near_dedup
 from landfall.llm.quality_classifier import quality_classifier
 from landfall.llm.quality_rules import fit_quality, quality_rules
@@ -87,6 +88,12 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents")).drop("_which")
 
 
+@query
+def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return lm_score(table(spark, sf_dir, "documents"), held_out)
+
+
 @query
 def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters(table(spark, sf_dir, "embeddings"))
