@@ -370,6 +370,19 @@ def _quality(reading: _Reading, given: Any) -> Quality:
     return Quality(**told)
 
 
+def read_in_part(resource: Resource) -> str | None:
+    """Why a run of this table never sees all of it; None if a run does."""
+    if resource.strategy == "search_window":
+        return "search_window returns what changed"
+    if resource.window_field is not None:
+        return "a rolling window returns its last months only"
+    if resource.strategy == "parent_watermark":
+        return "parent_watermark returns the children of changed parents"
+    if resource.strategy == "parent_fanout" and resource.cursor_field:
+        return "a cursor returns the children that changed"
+    return None
+
+
 def _judge_tables(reading: _Reading, resources: tuple[Resource, ...], quality: Quality) -> None:
     """What no block can tell by itself: names used twice, edges and parents that lead nowhere."""
     known = {resource.name: resource for resource in resources}
@@ -380,9 +393,8 @@ def _judge_tables(reading: _Reading, resources: tuple[Resource, ...], quality: Q
         for table in {edge.child_table, edge.parent_table} - set(known):
             reading.complain("quality.references", f"no table is called {table!r}")
     for resource in resources:
-        if resource.soft_delete == "always" and resource.strategy == "search_window":
-            reading.complain(f"resources.{resource.name}.soft_delete",
-                             "a search returns what changed, so absence from it means nothing")
+        if resource.soft_delete == "always" and (partial := read_in_part(resource)):
+            reading.complain(f"resources.{resource.name}.soft_delete", f"{partial}, so absence from it means nothing")
         if (resource.window_field is None) != (resource.window_months is None):
             reading.complain(f"resources.{resource.name}.incremental",
                              "window_field and window_months go together")

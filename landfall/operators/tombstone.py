@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from landfall.contract import WINDOWED_STRATEGIES, Contract, Resource, RunWindow
+from landfall.contract import WINDOWED_STRATEGIES, Contract, Resource, RunWindow, read_in_part
 from landfall.operators.joins import splittable
 from landfall.operators.shape import DELETED, LOAD_ID
 
@@ -68,7 +68,8 @@ def soft_delete_eligible(
 ) -> SoftDeletePlan:
     """The tables a run may tombstone, and why the others may not.
 
-    ``complete`` tells, per table, whether its page chain was read to its end; a table whose
+    A table of which a run only ever reads a part (a search, a rolling window, a worklist) is
+    never one of them. ``complete`` tells, per table, whether its page chain was read to its end; a table whose
     chain has gaps, or of which nothing is said, is never tombstoned.
     """
     if not requested:
@@ -77,11 +78,12 @@ def soft_delete_eligible(
     for resource in selected:
         if resource.soft_delete is None:
             continue
-        if resource.soft_delete == "full_history":
+        reason = read_in_part(resource)
+        if reason is None and resource.soft_delete == "full_history":
             reason = _partial_history(contract, resource, window)
-            if reason:
-                skipped[resource.name] = reason
-                continue
+        if reason:
+            skipped[resource.name] = reason
+            continue
         if not (complete or {}).get(resource.name, False):
             known = complete is not None and resource.name in complete
             skipped[resource.name] = (

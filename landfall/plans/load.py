@@ -29,6 +29,7 @@ from landfall.operators.shape import landed_key, landed_rows, sample_landed
 from landfall.operators.tombstone import soft_delete_eligible
 from landfall.plans.suite import write_append
 from landfall.plans.warehouse import Warehouse
+from landfall.sources.landed import chains_complete, records_from_pages
 
 # A builder returns the raw records of a resource that no plain table holds. It
 # is registered as ``build_<resource>``, or as ``build_resource`` for all.
@@ -47,6 +48,7 @@ class Run:
     window: RunWindow
     records: Mapping[str, DataFrame]
     builders: Mapping[str, Builder] = field(default_factory=dict)
+    pages: DataFrame | None = None
     worklists: dict[tuple[str, Any], DataFrame] = field(default_factory=dict)
     lock: Lock = field(default_factory=Lock)
 
@@ -61,6 +63,8 @@ class Run:
             builder = self.builders.get("build_resource")
         if builder is not None:
             return builder(self.spark, self.contract, resource, state)
+        if resource.name not in self.records and self.pages is not None:
+            return records_from_pages(self.pages, self.contract, resource)
         if resource.name not in self.records:
             raise ContractError(
                 f"{self.contract.name}: nothing supplies {resource.name} "
@@ -102,7 +106,7 @@ def run_source(
     spark: SparkSession,
     contract: Contract,
     warehouse: Warehouse,
-    records: Mapping[str, DataFrame],
+    records: Mapping[str, DataFrame] | None,
     window: RunWindow,
     run_id: str,
     started_at: datetime,
@@ -115,6 +119,7 @@ def run_source(
     publish: bool = False,
     sample: int = 0,
     parallel: int = 4,
+    pages: DataFrame | None = None,
 ) -> dict[str, Any]:
     """Land the selected resources and return the run's summary, which is also
     appended to the run log, whether the run succeeds or fails.
@@ -124,10 +129,15 @@ def run_source(
     ``requests`` are the URLs (column ``url``) this run asked for, ``complete`` says
     per table whether its page chain was whole, and ``sample`` prints that many rows
     of each table as they landed.
+
+    ``pages`` are landed response pages (see ``sources.landed``): what neither ``records`` nor
+    a builder supplies is read from them as the contract says, and whether their chains
+    are whole is taken from them for every table that ``complete`` is silent about.
     """
+    records = records or {}
     depth = _after_parents(contract)
     selected = sorted(contract.select(resources), key=depth)
-    run = Run(spark, contract, warehouse, run_id, started_at, window, records, builders or {})
+    run = Run(spark, contract, warehouse, run_id, started_at, window, records, builders or {}, pages)
     clock = time.monotonic()
     summary: dict[str, Any] = {
         "started_at": started_at.isoformat(), "mode": window.mode,
@@ -156,6 +166,8 @@ def run_source(
                     sample_landed(rows, landed_key(resource), sample).show(
                         sample, truncate=False, vertical=True
                     )
+        if tombstone:
+            complete = {**_chains_seen(run, selected), **(complete or {})}
         plan = soft_delete_eligible(contract, selected, window, tombstone, complete)
         summary["marked_deleted"] = warehouse.mark_deleted(
             spark, plan.eligible, summary["load_ids"]
@@ -181,6 +193,19 @@ def run_source(
     return summary
 
 
+def _chains_seen(run: Run, selected: Sequence[Resource]) -> dict[str, bool]:
+    """Of the tables read from pages that could be tombstoned: was every chain of theirs read whole?"""
+    if run.pages is None:
+        return {}
+    seen = {
+        resource.name: chains_complete(run.pages, run.contract, resource)
+        for resource in selected
+        if resource.soft_delete and resource.name not in run.records
+        and not {f"build_{resource.name}", "build_resource"} & set(run.builders)
+    }
+    return {name: whole for name, whole in seen.items() if whole is not None}
+
+
 def _after_parents(contract: Contract) -> Callable[[Resource], int]:
     def depth(resource: Resource) -> int:
         if resource.strategy == "full_refresh":
