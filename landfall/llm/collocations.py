@@ -30,8 +30,9 @@ from landfall.llm.blocks import (
     block_number, byte_classes, cut_words, gathered, pack_numbers, pack_words, text_hashes, unpack_numbers,
     unpack_words,
 )
-from landfall.llm.common import small_batches, written
+from landfall.llm.common import remove_folder, small_batches, written
 from landfall.operators.joins import splittable
+from landfall.session import scratch_folder
 
 CLASSES = byte_classes(b" \t", b".,;:!?\n\x0b\x0c\r")
 RELATION = "block bigint, lang string, codes binary, words binary, places bigint, n bigint"
@@ -65,7 +66,7 @@ def word_occurrences(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame
             codes[places] = numbers
             yield _row(block_number(made), lang, codes, words.dictionary)
 
-    return written(rows.mapInArrow(run, RELATION), "occurrences")
+    return rows.mapInArrow(run, RELATION)
 
 
 class Groups:
@@ -164,8 +165,7 @@ def next_relation(relation: DataFrame, merge: bool, least: int) -> DataFrame:
     ranges = 1 << (max(-(-places // RANGE_GROUPS), 1) - 1).bit_length()
     flags = hash_runs(relation, merge, ranges, HASH_BITS).groupBy("span").applyInArrow(
         count_runs(least), "of bigint, span bigint, size bigint, bits binary")
-    kept = relation.groupBy("block").cogroup(flags.groupBy("of")).applyInArrow(keep_groups(merge, HASH_BITS), RELATION)
-    return written(kept, "occurrences")
+    return relation.groupBy("block").cogroup(flags.groupBy("of")).applyInArrow(keep_groups(merge, HASH_BITS), RELATION)
 
 
 def group_counts(relation: DataFrame, least: int) -> DataFrame:
@@ -200,12 +200,22 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     count, then by the phrase's bytes, so no two rows share a rank. A very long text is a block
     of its own: a task holds its numbers, never more than one such text. Other columns are not read.
     """
-    relation = words = word_occurrences(docs, text_col, lang_col)
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    spark = docs.sparkSession
+
+    def stored(rows: DataFrame) -> tuple[DataFrame, str]:
+        folder = scratch_folder(spark, "occurrences")
+        rows.write.parquet(folder)
+        return spark.read.schema(RELATION).parquet(folder), folder
+
+    relation, folder = stored(word_occurrences(docs, text_col, lang_col))
+    totals = written(relation.groupBy("lang").agg(F.sum("n").alias("n")), "words")
     found = []
     for size in range(1, longest + 1):
-        relation = next_relation(relation, size > 1, least)
+        before = folder
+        relation, folder = stored(next_relation(relation, size > 1, least))
+        remove_folder(spark, before)
         found.append(written(group_counts(relation, least), "phrases"))
+    remove_folder(spark, folder)
     # By length: the parts of a candidate are no longer than it is, and as frequent.
     part = [p.withColumnRenamed("word", "part") for p in found]
 
