@@ -122,6 +122,40 @@ def evolve_type_conflict_query(spark, sf_dir):
     return warehouse.read(spark, "orders")
 
 
+@query("evolve_type_lattice", """
+SELECT o_orderkey,
+       CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice ELSE o_custkey::DOUBLE END AS price,
+       CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority
+            WHEN o_orderkey % 3 = 1 THEN o_custkey::VARCHAR
+            ELSE CASE WHEN o_custkey > 75 THEN 'true' ELSE 'false' END END AS label,
+       CASE WHEN o_orderkey % 3 = 0 THEN o_custkey % 100 ELSE o_orderkey * 3000000000 END AS whole,
+       CASE WHEN o_orderkey % 3 < 2 THEN (o_custkey % 1000)::DOUBLE ELSE o_totalprice END AS part,
+       CAST(CAST((o_custkey % 1000) / 4 AS DECIMAL(20, 2)) AS DOUBLE) AS amount
+FROM orders
+""")
+def evolve_type_lattice_query(spark, sf_dir):
+    """Columns whose types drift both ways between loads land in the least type that holds them."""
+    warehouse = Warehouse(scratch_folder(spark, "lattice"), "shop", buckets=8)
+    orders = table(spark, sf_dir, "orders")
+    quarter = F.expr("(o_custkey % 1000) / 4")
+    loads = (
+        {"price": F.col("o_totalprice"), "label": F.col("o_orderpriority"),
+         "whole": F.expr("cast(o_custkey % 100 as int)"), "part": F.expr("cast(o_custkey % 1000 as int)"),
+         "amount": quarter.cast("decimal(7,2)")},
+        {"price": F.col("o_custkey"), "label": F.col("o_custkey"),
+         "whole": F.expr("o_orderkey * 3000000000"), "part": F.expr("cast(o_custkey % 1000 as smallint)"),
+         "amount": quarter.cast("decimal(20,4)")},
+        {"price": F.expr("cast(o_custkey as int)"), "label": F.expr("o_custkey > 75"),
+         "whole": F.expr("o_orderkey * 3000000000"), "part": F.col("o_totalprice"),
+         "amount": quarter.cast("decimal(6,3)")},
+    )
+    for load, columns in enumerate(loads):
+        part = orders.filter(F.col("o_orderkey") % 3 == load)
+        warehouse.land("orders", part.select("o_orderkey", *[c.alias(n) for n, c in columns.items()]),
+                       ["o_orderkey"], f"L{load}")
+    return warehouse.read(spark, "orders").withColumn("amount", F.col("amount").cast("double"))
+
+
 @query("evolve_add_columns", """
 SELECT o_orderkey, o_totalprice,
        CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 'error'

@@ -108,29 +108,82 @@ def evolve_add_columns(rows: DataFrame, defaults: Mapping[str, tuple[str, Any]])
 
 
 # Types in order of what holds what: a value of one fits each later one of its row.
-_WIDER = ((T.ByteType, T.ShortType, T.IntegerType, T.LongType), (T.FloatType, T.DoubleType))
-
-
-def _fits(new: T.DataType, known: T.DataType) -> bool:
-    if isinstance(new, T.NullType):
-        return True
-    return any(
-        type(new) in row and type(known) in row and row.index(type(new)) <= row.index(type(known))
-        for row in _WIDER
-    )
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_REAL = (T.FloatType, T.DoubleType)
+# Digits that hold every value of a whole type.
+_DIGITS = dict(zip(_WHOLE, (3, 5, 10, 20)))
+# What has one plain text, which a text column can hold.
+_PLAIN = (*_WHOLE, *_REAL, T.DecimalType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_MOMENTS = (T.TimestampType, T.TimestampNTZType)
+
+
+def least_type(known: T.DataType, new: T.DataType) -> T.DataType | None:
+    """The least type that holds values of both and that files of the known one can be
+    read as; None if there is none.
+
+    Whole numbers grow to the longer one, and to fractions where the reader can follow (not from
+    64 bits); decimals grow in digits on both sides of the point; a day becomes a moment
+    in a column of moments; a text column takes anything that has one plain text.
+    """
+    if isinstance(new, T.NullType) or known == new:
+        return known
+    if isinstance(known, T.StringType):
+        return known if isinstance(new, (*_PLAIN, T.StringType)) else None
+    if isinstance(known, _MOMENTS):
+        return known if isinstance(new, T.DateType) else None
+    if isinstance(known, _WHOLE) and isinstance(new, _WHOLE):
+        return max(known, new, key=lambda kind: _WHOLE.index(type(kind)))
+    if isinstance(known, _REAL) and isinstance(new, (*_REAL, *_WHOLE)):
+        return T.DoubleType()
+    if isinstance(known, _WHOLE[:-1]) and isinstance(new, _REAL):
+        return T.DoubleType()
+    return _least_decimal(known, new)
+
+
+def _least_decimal(known: T.DataType, new: T.DataType) -> T.DataType | None:
+    sizes = []
+    for kind in (known, new):
+        if isinstance(kind, T.DecimalType):
+            sizes.append((kind.precision - kind.scale, kind.scale))
+        elif type(kind) in _DIGITS:
+            sizes.append((_DIGITS[type(kind)], 0))
+        else:
+            return None
+    before, after = max(size[0] for size in sizes), max(size[1] for size in sizes)
+    return T.DecimalType(before + after, after) if before + after <= 38 else None
 
 
 def settle_types(rows: DataFrame, known: T.StructType) -> DataFrame:
-    """``rows`` in the types a table knows. A column keeps its type for good: values of another
-    land in a column of their own, ``<name>__v_<type>``, unless the known type holds them."""
+    """``rows`` in types that the table's columns can have from now on.
+
+    Where the values of a load and of the table have a least type, the column lands in it: its
+    old files are read as that type. What has none lands in a column of its own,
+    ``<name>__v_<type>``, and so do the single whole numbers that a fraction can't hold exactly.
+    """
+    clashing = [f for f in rows.schema.fields if f.name in known.names and f.dataType != known[f.name].dataType]
+    inexact = {
+        # The greatest whole number rounds up, and back to itself.
+        f.name: (F.col(f"`{f.name}`") == 2**63 - 1)
+        | (F.col(f"`{f.name}`").cast("double").try_cast("bigint") != F.col(f"`{f.name}`"))
+        for f in clashing
+        if isinstance(f.dataType, T.LongType) and least_type(known[f.name].dataType, f.dataType) == T.DoubleType()
+    }
+    if inexact:  # one pass over the load, and only where whole numbers meet fractions
+        found = rows.agg(*[F.coalesce(F.bool_or(rule), F.lit(False)).alias(name) for name, rule in inexact.items()]).first()
+        inexact = {name: rule for name, rule in inexact.items() if found[name]}
     out = []
     for field in rows.schema.fields:
         column, landed = F.col(f"`{field.name}`"), field.name
-        if field.name in known.names and field.dataType != known[field.name].dataType:
-            if _fits(field.dataType, known[field.name].dataType):
-                column = column.cast(known[field.name].dataType)
+        if field in clashing:
+            beside = f"{field.name}__v_" + re.sub(r"\W+", "_", field.dataType.simpleString()).strip("_")
+            target = least_type(known[field.name].dataType, field.dataType)
+            if target is None:
+                landed = beside
+            elif field.name in inexact:
+                out.append(F.when(inexact[field.name], column).alias(beside))
+                column = F.when(~inexact[field.name], column).cast(target)
             else:
-                landed += "__v_" + re.sub(r"\W+", "_", field.dataType.simpleString()).strip("_")
+                column = column.cast(target)
         out.append(column.alias(landed))
     return rows.select(*out)
 

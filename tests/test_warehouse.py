@@ -1,10 +1,10 @@
 """Landing: staged, switched and committed; replayed after a crash; tombstoned."""
 
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 
-from landfall.operators.merge import merge_upsert
+from landfall.operators.merge import least_type, merge_upsert
 from landfall.operators.shape import LOAD_ID
 from landfall.plans.warehouse import Warehouse
 
@@ -143,6 +143,73 @@ def test_a_column_keeps_its_type_and_another_lands_beside_it(spark, tmp_path):
                    3: (7, None, None), 4: (None, 2.5, None)}
 
 
+KINDS = {
+    ("tinyint", "bigint"): "bigint", ("bigint", "tinyint"): "bigint", ("int", "double"): "double",
+    ("double", "bigint"): "double", ("float", "double"): "double", ("double", "float"): "double",
+    ("float", "int"): "double", ("bigint", "double"): None, ("decimal(10,2)", "decimal(6,4)"): "decimal(12,4)",
+    ("decimal(38,2)", "decimal(38,4)"): None, ("decimal(4,1)", "bigint"): "decimal(21,1)",
+    ("bigint", "decimal(6,2)"): "decimal(22,2)", ("decimal(5,1)", "double"): None, ("double", "decimal(5,1)"): None,
+    ("string", "double"): "string", ("string", "boolean"): "string", ("string", "timestamp"): "string",
+    ("double", "string"): None, ("boolean", "bigint"): None, ("bigint", "boolean"): None, ("timestamp", "date"): "timestamp",
+    ("date", "timestamp"): None, ("string", "binary"): None, ("int", "void"): "int",
+}
+
+
+@pytest.mark.parametrize("kinds", KINDS, ids=" ".join)
+def test_the_least_type_of_two(spark, kinds):
+    known, new = (spark.sql(f"SELECT CAST(NULL AS {kind}) v").schema["v"].dataType if kind != "void"
+                  else spark.sql("SELECT NULL v").schema["v"].dataType for kind in kinds)
+    found = least_type(known, new)
+    assert (found and found.simpleString()) == KINDS[kinds]
+
+
+def test_types_drift_both_ways_and_no_value_is_stranded(spark, tmp_path):
+    """Every bucket is read in the widened type, those written before it too."""
+    warehouse = Warehouse(str(tmp_path), "s", buckets=4)
+
+    def land(load, rows, kind):
+        warehouse.land("t", spark.createDataFrame(rows, f"id bigint, v {kind}"), ["id"], f"L{load}")
+
+    land(0, [(i, i) for i in range(40)], "int")
+    land(1, [(0, 1 << 40)], "bigint")
+    land(2, [(1, 5)], "smallint")
+    got = {r.id: r.v for r in warehouse.read(spark, "t").collect()}
+    assert got == {**{i: i for i in range(40)}, 0: 1 << 40, 1: 5}
+    assert warehouse.schema(spark, "t")["v"].dataType.simpleString() == "bigint"
+    warehouse.publish(spark, ["t"])
+    assert spark.table("raw_s.t").agg({"v": "max"}).first()[0] == 1 << 40
+    spark.sql("DROP DATABASE raw_s CASCADE")
+
+
+def test_whole_numbers_in_a_column_of_fractions(spark, tmp_path):
+    warehouse = Warehouse(str(tmp_path), "s", buckets=2)
+    for load, (rows, kind) in enumerate([
+            ([(1, 1.5), (2, 2.5), (3, 3.5)], "double"), ([(1, 7), (4, None)], "bigint"),
+            ([(2, 2**53 + 1), (5, 2**53), (6, 2**63 - 1)], "bigint")]):
+        warehouse.land("t", spark.createDataFrame(rows, f"id bigint, v {kind}"), ["id"], f"L{load}")
+    got = {r.id: (r.v, r.v__v_bigint) for r in warehouse.read(spark, "t").collect()}
+    assert got == {1: (7.0, None), 2: (None, 2**53 + 1), 3: (3.5, None), 4: (None, None),
+                   5: (2.0**53, None), 6: (None, 2**63 - 1)}
+
+
+def test_anything_plain_in_a_text_column(spark, tmp_path):
+    warehouse = Warehouse(str(tmp_path), "s", buckets=2)
+    for load, (kind, value) in enumerate([
+            ("string", "abc"), ("bigint", 12), ("double", 1.5), ("boolean", True), ("date", date(2024, 1, 2))]):
+        warehouse.land("t", spark.createDataFrame([(load, value)], f"id bigint, v {kind}"), ["id"], f"L{load}")
+    rows = warehouse.read(spark, "t")
+    assert rows.columns == ["id", "v"]
+    assert [r.v for r in rows.orderBy("id").collect()] == ["abc", "12", "1.5", "true", "2024-01-02"]
+
+
+def test_an_append_table_widens_too(spark, tmp_path):
+    warehouse = Warehouse(str(tmp_path), "s", buckets=2)
+    for load, (kind, value) in enumerate([("float", 1.5), ("int", 7), ("double", 2.25)]):
+        rows = spark.createDataFrame([(load, value, f"L{load}")], f"id bigint, v {kind}, _load_id string")
+        warehouse.land("t", rows, ["id"], f"L{load}", "append")
+    assert [r.v for r in warehouse.read(spark, "t").orderBy("id").collect()] == [1.5, 7.0, 2.25]
+
+
 def test_a_lost_load_is_finished_before_a_newer_one(spark, tmp_path, monkeypatch):
     warehouse = Warehouse(str(tmp_path), "s", buckets=2)
 
