@@ -75,7 +75,9 @@ class Vocabulary:
         self.table = dict(enumerate(byte_letters()))
         self.pairs: dict[tuple[str, str], bool] = {}
         self.own: dict[str, bool] = {}
+        # Encoded words: those met of late, and the generation before them.
         self.known: dict[str, tuple[bytes, str]] = {}
+        self.older: dict[str, tuple[bytes, str]] = {}
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Plain merging, least rank first; only for the short texts of one or two tokens."""
@@ -219,11 +221,14 @@ class Vocabulary:
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """The ids (unsigned, 32 bits, little-endian) and the decoded text of each text."""
         split = [self.split(text) for text in texts]
-        fresh = set().union(*split) - self.known.keys()
+        wanted = set().union(*split)
+        fresh = wanted - self.known.keys()
         if len(self.known) + len(fresh) > WORDS:
-            self.known.clear()
-            fresh = set().union(*split)
-        self._know(fresh)
+            self.older, self.known = self.known, {}
+            fresh = wanted
+        again = fresh & self.older.keys()
+        self.known.update({chunk: self.older[chunk] for chunk in again})
+        self._know(fresh - again)
         for chunks in split:
             found = [self.known[chunk] for chunk in chunks]
             yield b"".join([i for i, _ in found]), " ".join([t for _, t in found if t])
@@ -264,7 +269,6 @@ def _encode(path: str, with_ids: bool):
                 columns.append(pa.array(kept, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
-        vocab.known.clear()     # the worker lives on, and others need its memory
 
     return run
 
