@@ -41,6 +41,28 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+class Steps:
+    """Written tables of one job, which it removes as it leaves them behind."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folders: list[tuple[DataFrame, str]] = []
+
+    def written(self, df: DataFrame, purpose: str) -> DataFrame:
+        folder = scratch_folder(self.spark, purpose)
+        df.write.parquet(folder)
+        out = self.spark.read.schema(df.schema).parquet(folder)
+        self.folders.append((out, folder))
+        return out
+
+    def remove(self, *tables: DataFrame) -> None:
+        """Remove tables that no later step and no result reads."""
+        for table in tables:
+            for step in [s for s in self.folders if s[0] is table]:
+                self.folders.remove(step)
+                remove_folder(self.spark, step[1])
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Remove a scratch folder that nothing reads any more, through Spark's own file system."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import written
+from landfall.llm.common import Steps
 
 
 def _stars(edges: DataFrame, both_ways: bool) -> DataFrame:
@@ -28,14 +28,17 @@ def components(edges: DataFrame, limit: int = 60) -> DataFrame:
     """``(node, root)`` for each node of the edges ``(a, b)``: root is the least node reachable.
 
     Each round is two groupings and joins over the edges; a hub is a sum per task and
-    a join that adaptive execution splits. Rounds are written, so none is done twice. An edge
+    a join that adaptive execution splits. Rounds are written, so none is done twice, and
+    removed when the next is. Components found before may stand in for their edges. An edge
     table without rows has no components; ``limit`` only guards against a fault.
     """
-    now = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    steps = Steps(edges.sparkSession)
+    now = steps.written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                   .where("a <> b").distinct(), "stars")
     marked = None
     for _ in range(limit):
-        now = written(_stars(_stars(now, True), False), "stars")
+        before, now = now, steps.written(_stars(_stars(now, True), False), "stars")
+        steps.remove(before)
         mark = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if mark == marked:
             break

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.llm import arrays
-from landfall.llm.common import text_rows, which_text, written
+from landfall.llm.common import Steps, text_rows, which_text
 from landfall.llm.graph import components
 from landfall.operators.joins import splittable
 
@@ -370,6 +370,8 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     Rows that repeat an id and a text are kept or go together. An empty table gives no rows.
     """
     spark = df.sparkSession
+    steps = Steps(spark)
+    written = steps.written
     rows = text_rows(df, id_col, text_col)
     described = written(describe(rows, shingle, trees), "sets")
 
@@ -409,7 +411,6 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     repeats = bool(described.where("n > 0").groupBy("_id", "which").count()
                              .where("count > 1").limit(1).count())
 
-    nothing = spark.createDataFrame([], "a long, b long")
     members = classes.select("cls", "n", F.posexplode("tokens").alias("tree", "token")).select(
         F.xxhash64("tree", "token").alias("node"), "cls", "n", "tree")
     small, large = _nodes(members)
@@ -420,24 +421,36 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     card = written(classes.select("cls", "n", "sketch", short.alias("tokens")).join(met, "cls", "left")
                    .withColumn("met", F.coalesce("met", F.lit(0).cast("long"))), "cards")
     roots = spark.createDataFrame([], "node long, root long")
-    parts, links, depth = [small], nothing, 0
+    parts, depth = [small], 0
+
+    def joined_by(links: DataFrame) -> DataFrame:
+        """The components of these links and of all that were found before."""
+        return components(links.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+    level = large
     while large.limit(1).count():
         pairs = written(_hang_on_leaders(large, card), "pairs")
         if pairs.limit(1).count():      # a node of one dense group is closed, not branched on
             wanted = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select(F.col("b").alias("cls")))
-            links = links.unionAll(confirmed(pairs, texts_of(wanted)))
-            roots = components(links)
+            texts = texts_of(wanted)
+            links = confirmed(pairs, texts)
+            steps.remove(texts)
+            roots = joined_by(links)
+            steps.remove(links)
             open_nodes = (large.join(roots, large["cls"] == roots["node"], "left")
                           .select(large["node"], F.coalesce("root", "cls").alias("root"))
                           .groupBy("node").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                           .where("lo <> hi").select("node"))
             large = large.join(open_nodes, "node", "left_semi")
+        steps.remove(pairs)
         if depth == DEPTH:
             parts.append(written(_blocks(large), "nodes"))
             break
         less, large = _nodes(_branch(large.join(card.select("cls", "sketch"), "cls"), depth))
         parts.append(written(less, "nodes"))
         large = written(large, "nodes")
+        steps.remove(level)
+        level = large
         depth += 1
     # Level, not tree, for members of branched nodes: they come after every first node.
     members = parts[0].select("node", "cls", "tree")
@@ -449,21 +462,25 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
         .select("node", "cls", "n", "met", F.col("tree").cast("long").alias("tree"), "tokens", "sketch")
         .repartition("node").sortWithinPartitions("node")
         .mapInArrow(_compare_nodes(threshold / 100), "node long, cls long, leader long"), "proposed")
+    steps.remove(*parts, card, level)
     texts = texts_of(proposed.select("cls").unionAll(proposed.select(F.col("leader").alias("cls"))))
     pairs = proposed.where("cls <> leader").select(
         F.least("cls", "leader").alias("a"), F.greatest("cls", "leader").alias("b")).distinct()
-    links = links.unionAll(confirmed(pairs, texts))
-    roots = components(links)
+    links = confirmed(pairs, texts)
+    roots = joined_by(links)
+    steps.remove(links)
 
     rooted = proposed.select("node", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left").select(
         "node", "cls", F.coalesce("root", "cls").alias("root"))
     open_nodes = (rooted.groupBy("node").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                   .where("lo <> hi").select("node"))
-    links = links.unionAll(written(
+    links = written(
         rooted.join(open_nodes, "node", "left_semi").join(texts, "cls")
         .select("node", "cls", "root", "_text").repartition("node").sortWithinPartitions("node")
-        .mapInArrow(_link_nodes(shingle, threshold), "a long, b long"), "links"))
-    roots = components(links)
+        .mapInArrow(_link_nodes(shingle, threshold), "a long, b long"), "links")
+    steps.remove(texts, proposed)
+    roots = joined_by(links)
+    steps.remove(links)
 
     grouped = classes.join(roots, classes["cls"] == roots["node"], "left").select(
         "h1", "h2", "least", F.coalesce("root", "cls").alias("root"))
