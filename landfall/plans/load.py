@@ -7,7 +7,7 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 from itertools import groupby
 from threading import Lock
 from typing import Any
@@ -157,10 +157,10 @@ def run_source(
             together = list(level)
             with ThreadPoolExecutor(max_workers=parallel) as pool:
                 landed = list(pool.map(lambda resource: _land(run, resource), together))
-            for resource, rows in zip(together, landed):
+            for resource, (rows, told) in zip(together, landed):
                 summary["load_ids"].append(run.load_id(resource))
-                # What was staged is what landed: no table is scanned to find it again.
-                summary["rows_this_run"][resource.name] = rows.count()
+                # What the staging write counted is what landed: nothing is scanned to find it again.
+                summary["rows_this_run"][resource.name] = told["rows"]
                 if sample:
                     print(f"{resource.name}, as landed:")
                     sample_landed(rows, landed_key(resource), sample).show(
@@ -222,9 +222,9 @@ def _schemas(run: Run, selected: Sequence[Resource]) -> DataFrame:
     return schema_rows(run.spark, {n: rows for n, rows in tables.items() if rows is not None})
 
 
-def _land(run: Run, resource: Resource) -> DataFrame:
-    """Fetch by strategy, land, then move the cursor: data, ledger, cursor. Returns
-    the rows that landed."""
+def _land(run: Run, resource: Resource) -> tuple[DataFrame, dict[str, Any]]:
+    """Fetch by strategy, land, then move the cursor: data, ledger, ranges, cursor. Returns
+    the rows that landed and what their write counted."""
     spark, warehouse = run.spark, run.warehouse
     state = warehouse.cursor(spark, resource.name)
     load_id = run.load_id(resource)
@@ -269,28 +269,48 @@ def _land(run: Run, resource: Resource) -> DataFrame:
         rows = I.parent_watermark(rows, worklist, *edge, changed_at, PARENT_CHANGED_AT)
         reached = I.advance_watermark(worklist, changed_at, state)
 
+    told: dict[str, Any] = {}
     staged = warehouse.land(
-        resource.name, rows, landed_key(resource), load_id, resource.write_disposition, cursor
+        resource.name, rows, landed_key(resource), load_id, resource.write_disposition, cursor, told
     )
-    if reached is None and cursor is not None:
-        reached = staged.agg(F.max(cursor).alias("watermark"))
+    newest = told["newest"]
     if reached is not None:
         newest = reached.select(F.col("watermark").cast("timestamp")).first()[0]
-        moves = newest is not None and (state is None or newest > state)
-        if moves and _joins_up(run, resource, state):
-            warehouse.save_cursor(spark, resource.name, newest, load_id, run.started_at)
-    return staged
-
-
-def _joins_up(run: Run, resource: Resource, state: datetime | None) -> bool:
-    """Whether what this run asked for leaves no gap after what is landed already. A cursor
-    that moved over a gap would never come back for it."""
-    if run.window.mode != "window" or resource.strategy != "search_window":
-        return True
-    floor = state or resource.initial_value
-    if floor is None and run.contract.backfill_start:
-        floor = datetime.fromisoformat(run.contract.backfill_start)
-    return floor is not None and run.window.start.replace(tzinfo=None) <= floor.replace(tzinfo=None)
+    if resource.strategy == "search_window":
+        newest = _known_without_gap(run, resource, state, newest)
+    if newest is not None and (state is None or newest > state):
+        warehouse.save_cursor(spark, resource.name, newest, load_id, run.started_at)
+    return staged, told
+
+
+def _known_without_gap(
+    run: Run, resource: Resource, state: datetime | None, newest: datetime | None
+) -> datetime | None:
+    """Enter what this run read in the log of ranges, and tell how far the resource is known
+    from its floor on. A cursor that moved over a gap would never come back for it; once
+    windows close the gap, in whatever order, it moves over all of them."""
+    spark, warehouse, window = run.spark, run.warehouse, run.window
+    floor = _naive(state or resource.initial_value)
+    if window.mode == "window":
+        start, end = _naive(window.start), _naive(window.end)
+        if window.end_is_current:    # what comes in later may still be older than now
+            end = newest
+        if floor is None and run.contract.backfill_start:
+            floor = _naive(datetime.fromisoformat(run.contract.backfill_start))
+    else:
+        start, end = I.with_lookback(floor, resource.lookback_seconds), newest
+    warehouse.save_range(spark, resource.name, start, end, newest, run.load_id(resource), run.started_at)
+    if floor is None:
+        return newest if window.mode != "window" else None
+    known = warehouse.covered(spark, resource.name, floor)
+    return known if known is not None and known > floor else None
+
+
+def _naive(moment: datetime | None) -> datetime | None:
+    """As the session holds it: in UTC, without a zone."""
+    if moment is None or moment.tzinfo is None:
+        return moment
+    return moment.astimezone(timezone.utc).replace(tzinfo=None)
 
 
 def _as_dict(counts: DataFrame) -> dict[str, int | None]:

@@ -18,9 +18,10 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from landfall.operators.incremental import cursor_state, pending_loads
+from landfall.operators.ranges import RANGES_SCHEMA, covered_until
 from landfall.operators.merge import dedup_latest, merge_upsert, settle_types
 from landfall.operators.shape import LOAD_ID
 from landfall.operators.tombstone import is_stale, mark_deleted
@@ -118,9 +119,11 @@ class Warehouse:
         load_id: str,
         disposition: str = "merge",
         cursor: str | None = None,
+        told: dict | None = None,
     ) -> DataFrame:
         """Land one load; returns its rows as staged. A load id that is already
-        committed lands nothing again."""
+        committed lands nothing again. ``told`` is filled with what the staging write counted on
+        its way: ``rows``, the ``newest`` cursor, and ``keyless`` rows, which no merge finds again."""
         spark = rows.sparkSession
         # A load that was lost on its way must not be replayed over this one later.
         self.recover(spark, table)
@@ -129,7 +132,9 @@ class Warehouse:
         if before not in (None, disposition):
             raise ValueError(f"{table} is a table of {before} loads, not {disposition}")
         if committed:
-            return spark.read.parquet(delta_path).drop(self.bucket)
+            staged = spark.read.parquet(delta_path).drop(self.bucket)
+            _tell(told, staged.agg(*_metrics(staged, keys, cursor)).first().asDict())
+            return staged
         if disposition == "append":
             delta = rows
         else:
@@ -141,9 +146,11 @@ class Warehouse:
             delta = settle_types(delta, known)
         if disposition == "merge":
             delta = delta.withColumn(self.bucket, self._bucket_of(keys))
-        delta.write.mode("overwrite").parquet(delta_path)
-        staged = spark.read.parquet(delta_path)
-        if disposition == "merge" and not staged.isEmpty():
+        seen = Observation()
+        delta.observe(seen, *_metrics(delta, keys, cursor)).write.mode("overwrite").parquet(delta_path)
+        counted = _tell(told, seen.get)
+        staged = spark.read.schema(delta.schema).parquet(delta_path)
+        if disposition == "merge" and counted["rows"]:
             self._stage_merge(spark, table, staged, keys, load_id)
         self._prepare(spark, table, load_id, disposition)
         self._switch(spark, table, load_id, disposition)
@@ -292,6 +299,22 @@ class Warehouse:
             f"{self.base}/_state/{resource}"
         )
 
+    def save_range(
+        self, spark: SparkSession, resource: str, start: datetime | None, end: datetime | None,
+        newest: datetime | None, load_id: str, saved_at: datetime,
+    ) -> None:
+        """That the resource was read from ``start`` to ``end``; written after its data."""
+        read = [(self.source, resource, self.destination, start, end, newest, load_id, saved_at)]
+        spark.createDataFrame(read, RANGES_SCHEMA).coalesce(1).write.mode("append").parquet(
+            f"{self.base}/_ranges/{resource}"
+        )
+
+    def covered(self, spark: SparkSession, resource: str, floor: datetime) -> datetime | None:
+        """The newest moment known without a gap from the floor on; None without any range."""
+        log = _log(spark, f"{self.base}/_ranges/{resource}", RANGES_SCHEMA)
+        found = covered_until(log, ["source", "resource", "destination"], floor).first()
+        return found.newest if found else None
+
     # ── catalog ──────────────────────────────────────────────────────────────
 
     def publish(self, spark: SparkSession, tables: Sequence[str]) -> None:
@@ -315,6 +338,20 @@ class Warehouse:
             spark.catalog.refreshTable(name)
 
 
+def _metrics(rows: DataFrame, keys: Sequence[str], cursor: str | None) -> list[Column]:
+    keyless = F.lit(False)
+    for key in keys:
+        keyless = keyless | F.col(key).isNull()
+    newest = F.max(F.col(cursor).cast("timestamp")) if cursor else F.max(F.lit(None).cast("timestamp"))
+    return [F.count(F.lit(1)).alias("rows"), newest.alias("newest"), F.count_if(keyless).alias("keyless")]
+
+
+def _tell(told: dict | None, counted: dict) -> dict:
+    if told is not None:
+        told.update(counted)
+    return counted
+
+
 def read_if_present(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None
 ) -> DataFrame | None:
