@@ -140,15 +140,16 @@ def _predict(model: Model | None):
 
 
 def learn_languages(rows: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """Train on the ``sample`` rows of ``(_id, _text, lang)`` whose id and text hash lowest."""
-    keyed = rows.where("lang is not null and octet_length(_text) > 2").withColumn(
-        "draw", F.xxhash64("_id", F.hash("_text")))
-    last = keyed.select("draw").orderBy("draw").limit(sample).agg(F.max("draw")).first()[0]
+    """Train on ``sample`` distinct texts of ``(_text, lang)``, those that hash lowest with their
+    language: a row that repeats is drawn once, however often it does."""
+    keyed = rows.where("lang is not null and octet_length(_text) > 2").select(
+        "_text", "lang", F.xxhash64("_text", "lang").alias("draw"))
+    last = keyed.select("draw").distinct().orderBy("draw").limit(sample).agg(F.max("draw")).first()[0]
     if last is None:
         return None
-    drawn = (keyed.where(F.col("draw") <= last).select("_text", "lang")
+    drawn = (keyed.where(F.col("draw") <= last).dropDuplicates(["draw"]).select("_text", "lang")
              .mapInArrow(_features, "ids binary, weights binary, lang string")
-             .orderBy("lang", "ids", "weights").limit(sample).collect())
+             .orderBy("lang", "ids", "weights").collect())
     texts = [(np.frombuffer(r.ids, "<u2").astype(np.int64), np.frombuffer(r.weights, "<f4")) for r in drawn]
     order = np.random.default_rng(1).permutation(len(drawn))
     return train([texts[i] for i in order], [drawn[i].lang for i in order])
@@ -168,7 +169,7 @@ def language_id(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     small_batches(df.sparkSession)
     rows = df.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"),
                      F.col(lang_col).cast("string").alias("lang"), held_out.alias("held_out"))
-    model = learn_languages(rows.where("not held_out").select("_id", "_text", "lang"), sample)
+    model = learn_languages(rows.where("not held_out").select("_text", "lang"), sample)
     asked = rows.select("_id", "_text", F.coalesce("held_out", F.lit(False)).alias("held_out"),
                         F.coalesce(F.hash("_text"), F.lit(0)).alias("which"))
     return asked.mapInArrow(

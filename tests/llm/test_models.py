@@ -211,3 +211,16 @@ def test_a_verdict_is_learned_though_the_sample_misses_it(spark, hot):
     assert all(r.score is not None for r in url_filter(df, train_rows=5).collect())
     same = spark.createDataFrame(list(enumerate(urls[:-1])), "page_id long, url string")
     assert all(r.score is None and r.verdict == "allow" for r in url_filter(same, train_rows=5).collect())
+
+
+def test_a_row_that_repeats_is_learned_once(spark):
+    """2,500 copies of the row that hashes lowest do not crowd out a language."""
+    rng = random.Random(11)
+    rows = [(words(rng, 40, letters), lang) for letters, lang in (("abcdehn", "en"), ("aouzsch", "de"))
+            for _ in range(300)]
+    frame = spark.createDataFrame(rows, "text string, lang string").withColumn("doc_id", F.monotonically_increasing_id())
+    first = frame.orderBy(F.xxhash64("text", "lang")).first()
+    many = frame.unionByName(spark.createDataFrame([first] * 2500, frame.schema))
+    told = language_id(many, F.lit(False), sample=200)
+    right = told.join(frame, "doc_id").selectExpr("avg(cast(lang_pred = lang as int)) a").first().a
+    assert right > 0.95
