@@ -40,10 +40,11 @@ def stream_upsert(
     ``order_by`` tells re-sent rows of one batch apart; the last one wins.
     """
     keys = landed_key(resource)
+    # What an earlier run left half done, once per start: a batch that fails ends this one.
+    warehouse.recover(records.sparkSession)
 
     def land(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        warehouse.recover(spark)
         load_id = f"{_stream_id(spark, checkpoint)}-{batch_id:08d}"
         rows = landed_rows(batch, resource, load_id)
         warehouse.land(
