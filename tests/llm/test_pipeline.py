@@ -46,11 +46,11 @@ def test_run_is_the_stages(spark, steps):
     assert got.count() == steps["decontamination"][1].count()
 
 
-@pytest.mark.parametrize("name", ["op3_suffix_dedup", "op10_near_dedup"])
+@pytest.mark.parametrize("name", ["op3_suffix_dedup", "op10_near_dedup", "op12_centroid_clusters", "op13_collocations"])
 def test_query_matches_sql(spark, name):
     assert difference(spark, SF_DIR, entry_points.queries()[name], entry_points.oracle_sql()[name]) is None
 
 
 def test_every_operator_is_registered():
     names = [n for n in entry_points.queries() if n.startswith("op") or n == "pipeline"]
-    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
