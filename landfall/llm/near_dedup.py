@@ -43,6 +43,7 @@ SURE, POSSIBLE = 90, 74  # agreeing tokens: taken as a leader's, worth confirmin
 NODE = 2048             # classes compared exhaustively in one task,
 NODE_SHINGLES = 2_000_000  # and shingles that they may have in all
 DEPTH = 6
+MARKS = 1 << 26         # bits that tell which rows' texts are wanted: 8 MB at most go to each executor
 _HELD = 4_000_000       # shingles of texts that a confirming task keeps
 _MULTIPLIERS = arrays.mix(np.arange(1, SKETCH + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -310,6 +311,18 @@ def _token(k: Column) -> Column:
     return F.substring("sketch", k + 1, F.lit(1))
 
 
+def likely(rows: DataFrame, wanted: DataFrame, names: list[str]) -> DataFrame:
+    """The rows whose ``names`` may be those of a wanted row: all that are, and as many others as
+    share a bit with one. Only these texts need to be shuffled to a join that decides exactly."""
+    place = F.pmod(F.xxhash64(*names), F.lit(MARKS)) + 1
+    bucket, bit = F.bitmap_bucket_number(place).alias("_bucket"), F.bitmap_bit_position(place).alias("_bit")
+    marks = (wanted.select(bucket, bit).repartition("_bucket").groupBy("_bucket")
+             .agg(F.bitmap_construct_agg("_bit").alias("_marks")))
+    byte = "cast(conv(hex(substring(_marks, cast(_bit div 8 as int) + 1, 1)), 16, 10) as int)"
+    return (rows.select("*", bucket, bit).join(F.broadcast(marks), "_bucket")
+            .where(F.expr(f"shiftright({byte}, cast(_bit % 8 as int)) & 1 = 1")).select(*rows.columns))
+
+
 def _nodes(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Memberships in nodes of at least two classes: those to compare, those to branch."""
     sizes = members.groupBy("node").agg(
@@ -392,13 +405,16 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
 
     def texts_of(wanted: DataFrame) -> DataFrame:
         """The texts that stand for the classes ``cls`` of a table."""
-        reps = classes.select("cls", "rep_id", "rep_which").join(wanted.select("cls").distinct(), "cls")
+        reps = written(classes.select("cls", "rep_id", "rep_which").join(wanted.select("cls").distinct(), "cls"), "reps")
         texts = rows.withColumn("which", which_text())
+        texts = likely(texts, reps.select(F.col("rep_id").alias("_id"), F.col("rep_which").alias("which")), ["_id", "which"])
         texts = texts.join(reps, texts["_id"].eqNullSafe(reps["rep_id"])
                            & (texts["which"] == reps["rep_which"])).select("cls", "_text")
         if repeats:
             texts = texts.groupBy("cls").agg(F.min("_text").alias("_text"))
-        return written(texts, "texts")
+        texts = written(texts, "texts")
+        steps.remove(reps)
+        return texts
 
     def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         """The pairs that are links."""

@@ -98,3 +98,17 @@ def test_shingle_hashes_are_as_many_as_shingles():
 def test_a_pair_at_the_threshold_is_rarely_missed(similarity):
     """The chance to meet, from the trees' first nodes alone."""
     assert (1 - similarity) ** module.TREES < 1e-6
+
+
+def test_only_wanted_texts_are_shuffled(spark, monkeypatch):
+    """Rows come through the table of bits if they are wanted, few others do, and none if none is wanted."""
+    rows = spark.range(20_000).selectExpr(
+        "case when id % 1000 <> 7 then id end as _id", "cast(id as int) as which", "'t' as _text")
+    wanted = rows.where("which % 10 = 3 or which % 1000 = 7").select("_id", "which")
+    want = {tuple(r) for r in wanted.collect()}
+    got = [(r._id, r.which) for r in module.likely(rows, wanted, ["_id", "which"]).collect()]
+    assert want <= set(got) and len(got) == len(set(got)) < 1.1 * len(want)
+    assert module.likely(rows, wanted.limit(0), ["_id", "which"]).count() == 0
+    monkeypatch.setattr(module, "MARKS", 1)   # all bits set: nothing is lost
+    assert module.likely(rows, wanted, ["_id", "which"]).count() == 20_000
+    near_dedup(spark.createDataFrame([(i, f"a b c d e {i % 3}") for i in range(9)], "doc_id long, text string")).count()
