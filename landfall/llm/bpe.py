@@ -5,7 +5,8 @@ its own encoding, and may follow the last token of what stands before it (two to
 stand together if encoding their joint text gives just these two). So a state per trie node, the
 last token, is all an encoding needs. Sorted distinct words are the trie's depth-first order:
 a stack holds the states of the current path, a word keeps those of the prefix it shares
-with the word before, and encodings of shared prefixes are found once.
+with the word before, and encodings of shared prefixes are found once. A state is found when
+a longer prefix first asks for it, so nodes at which no likely token starts cost nothing.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from landfall.llm.common import text_rows, which_text
 PIECE = 1 << 20         # bytes of text whose words are sorted together
 WORDS = 250_000         # encoded words a task keeps
 PAIRS = 250_000         # verdicts on pairs a worker keeps
+DEEP = 200              # letters up to which states are found as they are asked for
 END = "</w>"
 
 
@@ -69,15 +71,32 @@ class Vocabulary:
         self.latin_words = regex.compile(split)     # faster, the same below U+0250
         self.beyond_latin = regex.compile(r"[^\x00-\u024f]")
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self.codes = {t: np.array([i], "<u4").tobytes() for t, i in self.ids.items()}
-        # What a token that goes on may begin with; a word's end is asked for apart.
-        self.opens = {t[:k] for t in (t.removesuffix(END) for t in self.ids) for k in range(1, len(t) + 1)}
+        # Ids travel as the characters of these numbers, which UTF-32 writes as the ids.
+        self.codes = {t: chr(i) for t, i in self.ids.items()}
+        self.spoken = {i: t + " " for i, t in self.names.items()}
+        # Of what tokens end with: the tokens it ends with itself, longest first; for tokens
+        # that go on, and for those that end a word (by their letters).
+        self.inner = self._tails([t for t in self.ids if not t.endswith(END)], "")
+        self.ends = self._tails([t.removesuffix(END) for t in self.ids if t.endswith(END)], END)
         self.table = dict(enumerate(byte_letters()))
         self.pairs: dict[tuple[str, str], bool] = {}
         self.own: dict[str, bool] = {}
         # Encoded words: those met of late, and the generation before them.
-        self.known: dict[str, tuple[bytes, str]] = {}
-        self.older: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+
+    @staticmethod
+    def _tails(bare: list[str], end: str) -> dict[str, tuple[tuple[int, str], ...]]:
+        """By tail: lengths and tokens."""
+        tokens = {t: t + end for t in bare}
+        out: dict[str, tuple[tuple[int, str], ...]] = {"": ()}
+        for t in bare:
+            for k in range(len(t) - 1, -1, -1):
+                tail = t[k:]
+                if tail not in out:
+                    shorter = out[tail[1:]]
+                    out[tail] = ((len(tail), tokens[tail]), *shorter) if tail in tokens else shorter
+        return out
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Plain merging, least rank first; only for the short texts of one or two tokens."""
@@ -140,44 +159,52 @@ class Vocabulary:
             else:
                 return True
 
-    def _last(self, path: list[str], text: str, starts: list[int], end: str) -> str:
-        """The last token of a text, given the last tokens of its proper prefixes and where
-        tokens may start."""
-        ids, own, pairs = self.ids, self.own, self.pairs
-        for start in starts:
-            token = text[start:] + end
-            if token in ids and (own.get(token) or self.is_token(token)):
-                if not start:
+    def _last(self, path: list[str], text: str, size: int, tails: dict) -> str:
+        """The last token of a text's first letters. The path holds those of shorter
+        prefixes, empty where not yet found."""
+        pairs, start = self.pairs, size - 1
+        found = longer = tails.get(text[start:size], ())
+        while start and longer is not None:
+            found, start = longer, start - 1
+            longer = tails.get(text[start:size])
+        for length, token in longer or found:
+            at = size - length
+            if not at:
+                if self.own.get(token) or self.is_token(token):
                     return token
-                known = pairs.get((path[start], token))
-                if known or known is None and self.may_follow(path[start], token):
-                    return token
-        raise ValueError(f"no encoding of {text!r}")
+                continue
+            left = path[at]
+            if not left:
+                left = path[at] = self._last(path, text, at, self.inner)
+            known = pairs.get((left, token))
+            if known or known is None and self.is_token(token) and self.may_follow(left, token):
+                return token
+        raise ValueError(f"no encoding of {text[:size]!r}")
 
     def learn(self, words: set[str]) -> None:
         """Encode distinct words in the trie's depth-first order."""
-        table, codes, opens = self.table, self.codes, self.opens
-        mapped = sorted((word.encode().decode("latin-1").translate(table), word) for word in words)
-        # By depth: the last token of the first letters, and where a token that goes on may start.
-        path, alive, before = [""], [[]], ""
+        table, codes, inner, ends = self.table, self.codes, self.inner, self.ends
+        # Printable ASCII letters stand for themselves.
+        mapped = sorted([(word if word.isascii() and word.isprintable()
+                          else word.encode().decode("latin-1").translate(table), word) for word in words])
+        # By depth: the last token of the first letters, empty where not yet found.
+        path, before = [""], ""
         for text, word in mapped:
             size = len(text)
-            shared, most = 0, min(len(path) - 1, size - 1)
+            shared, most = 0, min(len(path), size) - 1
             while shared < most and before[shared] == text[shared]:
                 shared += 1
-            del path[shared + 1:], alive[shared + 1:]
-            for depth in range(shared + 1, size):
-                starts = [s for s in alive[-1] if text[s:depth] in opens]
-                starts.append(depth - 1)
-                alive.append(starts)
-                path.append(self._last(path, text[:depth], starts, ""))
-            token = self._last(path, text, [*alive[-1], size - 1], END)
-            tokens, at = [token], size - (len(token) - len(END))
+            path[shared + 1:] = [""] * (size - 1 - shared)
+            if size > DEEP:     # else prefixes would ask for one another too deeply
+                for depth in range(1, size):
+                    path[depth] = path[depth] or self._last(path, text, depth, inner)
+            token = self._last(path, text, size, ends)
+            out, at = [codes[token]], size - (len(token) - len(END))
             while at:
-                tokens.append(path[at])
-                at -= len(path[at])
-            tokens.reverse()
-            self.known[word] = (b"".join([codes[t] for t in tokens]), " ".join(tokens))
+                token = path[at]
+                out.append(codes[token])
+                at -= len(token)
+            self.known[word] = "".join(out[::-1])
             before = text
 
     def split(self, text: str) -> list[str]:
@@ -206,32 +233,41 @@ class Vocabulary:
             return text.lower()
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
+    def _parts(self, chunk: str) -> list[str]:
+        """The words of a chunk; letters with a mark or none behind, as most are, need no pattern."""
+        core = chunk.rstrip(".,;:!?")
+        if core.isalpha():
+            return [chunk] if core == chunk else [core, chunk[len(core):]]
+        return self._findall(chunk)
+
+    def _recall(self, wanted: set[str]) -> set[str]:
+        """Take what the older generation knows over to the later one; the rest."""
+        fresh = wanted.difference(self.known)
+        again = fresh & self.older.keys()
+        self.known.update({chunk: self.older[chunk] for chunk in again})
+        return fresh - again
+
     def _know(self, chunks: set[str]) -> None:
         """Encode chunks that are not known: their words first, each once."""
-        parts = {chunk: self._findall(chunk) for chunk in chunks - self.special.keys()}
-        fresh = set().union(*parts.values()) - self.known.keys()
-        self.learn(fresh)
+        parts = {chunk: self._parts(chunk) for chunk in chunks.difference(self.special)}
+        self.learn(self._recall(set().union(*parts.values())))
+        known = self.known
         for chunk, words in parts.items():
             if words != [chunk]:
-                found = [self.known[word] for word in words]
-                self.known[chunk] = (b"".join([i for i, _ in found]), " ".join([t for _, t in found]))
+                known[chunk] = "".join([known[word] for word in words])
         for token in chunks & self.special.keys():
-            self.known[token] = (np.array([self.special[token]], "<u4").tobytes(), token)
+            known[token] = chr(self.special[token])
 
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """The ids (unsigned, 32 bits, little-endian) and the decoded text of each text."""
         split = [self.split(text) for text in texts]
         wanted = set().union(*split)
-        fresh = wanted - self.known.keys()
-        if len(self.known) + len(fresh) > WORDS:
+        if len(self.known) + len(wanted.difference(self.known)) > WORDS:
             self.older, self.known = self.known, {}
-            fresh = wanted
-        again = fresh & self.older.keys()
-        self.known.update({chunk: self.older[chunk] for chunk in again})
-        self._know(fresh - again)
+        self._know(self._recall(wanted))
         for chunks in split:
-            found = [self.known[chunk] for chunk in chunks]
-            yield b"".join([i for i, _ in found]), " ".join([t for _, t in found if t])
+            ids = "".join(map(self.known.__getitem__, chunks))
+            yield ids.encode("utf-32-le", "surrogatepass"), ids.translate(self.spoken)[:-1]
 
     def decode(self, ids: bytes) -> str:
         """The text of ids: tokens as the vocabulary writes them, a space between."""

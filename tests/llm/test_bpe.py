@@ -62,3 +62,43 @@ def test_a_full_memory_changes_nothing(monkeypatch, library):
     for text in texts()[10:40]:
         (ids, _), = vocab.encode([text])
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_states_are_found_only_when_asked_for(monkeypatch, library):
+    vocab, rng, calls = bpe.Vocabulary(PATH), random.Random(5), []
+    last = vocab._last
+    monkeypatch.setattr(vocab, "_last", lambda *told: calls.append(0) or last(*told))
+    given = words(rng, 2000, ["th", "er", "on", "ing", "and", "re", "tion", "es"]).split()
+    for word, (ids, _) in zip(given, vocab.encode(given)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(word, add_special_tokens=False).ids
+    nodes = {word[:k] for word in given for k in range(1, len(word) + 1)}
+    assert len(calls) < 0.75 * len(nodes)
+
+
+def test_words_of_the_older_generation_are_not_learned_again(monkeypatch):
+    vocab, learned, learn = bpe.Vocabulary(PATH), [], bpe.Vocabulary.learn
+    monkeypatch.setattr(bpe, "WORDS", 3)
+    monkeypatch.setattr(vocab, "learn", lambda new: learned.extend(new) or learn(vocab, new))
+    for text in ["harbour one two", "harbour, one!"]:
+        list(vocab.encode([text]))
+    assert sorted(learned) == ["!", ",", "harbour", "one", "two"]
+
+
+def test_letters_need_no_pattern():
+    vocab = bpe.Vocabulary(PATH)
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for c in every:
+        if not c.isspace():
+            assert vocab._parts(f"a{c}b,") == vocab._findall(f"a{c}b,"), hex(ord(c))
+
+
+@pytest.mark.parametrize("letters", ["etaoinshrdlu", "ab", "xyé日"])
+def test_long_words(library, letters):
+    vocab, rng = bpe.Vocabulary(PATH), random.Random(7)
+    sizes = [bpe.DEEP - 1, bpe.DEEP, bpe.DEEP + 1, 3 * bpe.DEEP]
+    given = ["".join(rng.choices(letters, k=n)) for n in sizes for _ in range(20)]
+    given += [given[-1][:n] + "ing" for n in range(bpe.DEEP - 9, bpe.DEEP + 9)]
+    for word, (ids, decoded) in zip(given, vocab.encode(given)):
+        want = library.encode(word, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want
+        assert decoded == library.decode(want, skip_special_tokens=False)
