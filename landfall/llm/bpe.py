@@ -70,6 +70,8 @@ class Vocabulary:
         self.words = regex.compile(split.replace(r"\p{L}", rf"[\p{{L}}--[{_unassigned()}]]"), regex.V1)
         self.latin_words = regex.compile(split)     # faster, the same below U+0250
         self.beyond_latin = regex.compile(r"[^\x00-\u024f]")
+        # As chunks, special tokens have a blank before them: text that only reads so in lower case has none.
+        self.marked = {" " + t: chr(i) for t, i in self.special.items()}
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         # Ids travel as the characters of these numbers, which UTF-32 writes as the ids.
         self.codes = {t: chr(i) for t, i in self.ids.items()}
@@ -213,7 +215,7 @@ class Vocabulary:
             return self._chunks(self.normal(text))
         out: list[str] = []
         for k, part in enumerate(self.marks.split(text)):
-            out += [part] if k % 2 else self._chunks(self.normal(part))
+            out += [" " + part] if k % 2 else self._chunks(self.normal(part))
         return out
 
     def _chunks(self, text: str) -> list[str]:
@@ -249,14 +251,14 @@ class Vocabulary:
 
     def _know(self, chunks: set[str]) -> None:
         """Encode chunks that are not known: their words first, each once."""
-        parts = {chunk: self._parts(chunk) for chunk in chunks.difference(self.special)}
+        parts = {chunk: self._parts(chunk) for chunk in chunks.difference(self.marked)}
         self.learn(self._recall(set().union(*parts.values())))
         known = self.known
         for chunk, words in parts.items():
             if words != [chunk]:
                 known[chunk] = "".join([known[word] for word in words])
-        for token in chunks & self.special.keys():
-            known[token] = chr(self.special[token])
+        for token in chunks & self.marked.keys():
+            known[token] = self.marked[token]
 
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """The ids (unsigned, 32 bits, little-endian) and the decoded text of each text."""

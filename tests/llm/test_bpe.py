@@ -102,3 +102,12 @@ def test_long_words(library, letters):
         want = library.encode(word, add_special_tokens=False).ids
         assert np.frombuffer(ids, "<u4").tolist() == want
         assert decoded == library.decode(want, skip_special_tokens=False)
+
+
+def test_special_tokens_are_told_apart_by_case(library):
+    vocab = bpe.Vocabulary(PATH)
+    given = ["a <|ENDOFTEXT|> b", "<|EndOfText|>", "<|endoftext|><|Startoftext|>", "<|<|endoftext|>|>"]
+    for text, (ids, decoded) in zip(given, vocab.encode(given)):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want
+        assert decoded == library.decode(want, skip_special_tokens=False)
